@@ -78,6 +78,8 @@ class TradeFlow:
     watermark_delay: str = WATERMARK_DELAY
     window_width: str = WINDOW_WIDTH
     keep_null_event_time: bool = False
+    # Groups in which the copies of one trade are removed first; see deduplicate.
+    copy_fanout: int = 1
     # Writer tasks that share one (date, symbol) partition of a micro-batch.
     writers_per_partition: int = 4
     # Keyword arguments of DataStreamWriter.trigger; None means as soon as possible.

@@ -31,19 +31,27 @@ def deduplicate(
     keys: Sequence[str] = TRADE_KEYS,
     event_time: str = "trade_timestamp",
     survivor_order: Sequence[str] = SURVIVOR_ORDER,
+    copy_fanout: int = 1,
 ) -> DataFrame:
     """One row per key.
 
     A stream keeps the copy it sees first. The event time is part of the key,
     so the watermark removes keys from the state, and it drops rows that come
-    later than ``watermark_delay``.
+    later than ``watermark_delay``. Where one key may have very many copies in
+    a micro-batch, ``copy_fanout`` > 1 removes copies in that many groups per
+    key first, at the price of a second shuffle and state.
 
     A table keeps the smallest copy by ``survivor_order``. As an aggregate this
     combines copies before the shuffle: a key that holds a large share of all
     rows leaves each map task as a single row.
     """
     if df.isStreaming:
-        return df.withWatermark(event_time, watermark_delay).dropDuplicates(list(keys))
+        marked = df.withWatermark(event_time, watermark_delay)
+        if copy_fanout > 1:
+            # Any spread is right, because the second step is exact.
+            group = (F.rand(seed=0) * copy_fanout).cast("int")
+            marked = marked.withColumn("copy_group", group).dropDuplicates([*keys, "copy_group"]).drop("copy_group")
+        return marked.dropDuplicates(list(keys))
     first = [name for name in survivor_order if name in df.columns and name not in keys]
     rest = [name for name in df.columns if name not in first and name not in keys]
     survivor = F.min(F.struct(*first, *rest)).alias("survivor")
@@ -55,6 +63,7 @@ def clean_and_deduplicate(
     watermark_delay: str = WATERMARK_DELAY,
     keep_null_event_time: bool = False,
     columns: Sequence[str] | None = None,
+    copy_fanout: int = 1,
 ) -> DataFrame:
     """Decoded trades to the rows of the raw table.
 
@@ -66,4 +75,4 @@ def clean_and_deduplicate(
         needed = {*TRADE_KEYS, *SURVIVOR_ORDER[:3], *columns}
         trades = trades.select(*[name for name in trades.columns if name in needed])
     # The date is added last: it follows from the key and need not be shuffled.
-    return with_trade_date(deduplicate(trades, watermark_delay))
+    return with_trade_date(deduplicate(trades, watermark_delay, copy_fanout=copy_fanout))

@@ -20,12 +20,28 @@ EVENTS_SCHEMA = (
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
+    return events.repartition(_cores(spark)) if _fits_few_tasks(events) else events
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     # Written as a pattern because a stream takes a plain path for a directory.
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parque[t]")
+    events = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parque[t]")
+    table = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
+    return events.repartition(_cores(spark)) if _fits_few_tasks(table) else events
+
+
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def _fits_few_tasks(table: DataFrame) -> bool:
+    """A table with fewer scan tasks than cores: spreading it costs little and uses all cores.
+
+    JSON work is the bulk of these queries. A large table has tasks enough and
+    is read where it lies.
+    """
+    return table.rdd.getNumPartitions() < _cores(table.sparkSession)
 
 
 def _every(step: int) -> Column:

@@ -225,6 +225,12 @@ SELECT symbol, count(*) AS row_count, max(trade_timestamp) AS last_trade,
        max(ingestion_timestamp) AS last_ingestion,
        CAST(date_diff('second', max(trade_timestamp), max(ingestion_timestamp)) AS BIGINT) AS ingest_lag_seconds
 FROM trades GROUP BY symbol""",
+    ),
+    "aggregated_table_range": _sql(
+        _WINDOWS,
+        f"""
+SELECT {_WINDOW_ROW}, trade_date FROM windows
+WHERE window_start >= TIMESTAMP '{RANGE_START}' AND window_start < TIMESTAMP '{RANGE_END}'""",
     ),
     "reconcile_raw_agg": _sql(
         _TRADES,
@@ -267,3 +273,13 @@ WHERE time_bucket(INTERVAL 1 MINUTE, trade_timestamp) + INTERVAL 1 MINUTE <= wat
 GROUP BY symbol, trade_date""",
     ),
 }
+
+# The SQL statements ask for what these DataFrame queries compute.
+for _statement, _query in {
+    "sql_latest_trades": "latest_trades",
+    "sql_latest_windows": "latest_windows",
+    "sql_raw_count": "raw_count",
+    "sql_aggregated_count": "aggregated_count",
+    "sql_summary": "symbol_summary",
+}.items():
+    ORACLES[_statement] = ORACLES[_query]

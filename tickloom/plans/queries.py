@@ -23,6 +23,7 @@ from tickloom.operators import (
     latest_windows,
     price_series,
     reconcile,
+    register_views,
     reject_counts,
     rejected,
     row_count,
@@ -98,14 +99,18 @@ def windows(spark: SparkSession, folder: str) -> DataFrame:
     return window_metrics(wire(spark, folder))
 
 
-def stored_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Both tables, written under the scratch folder and read back."""
-    root = scratch_dir(spark, "tables")
-    raw_path, aggregated_path = f"{root}/raw", f"{root}/aggregated"
-    write_table(trades(spark, folder), raw_path, RAW_LAYOUT)
-    raw = read_table(spark, raw_path, RAW_LAYOUT)
-    write_table(aggregate_windows(raw), aggregated_path, AGGREGATED_LAYOUT)
-    return raw, read_table(spark, aggregated_path, AGGREGATED_LAYOUT)
+def stored_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw table, written under the scratch folder and read back."""
+    path = scratch_dir(spark, "raw")
+    write_table(trades(spark, folder), path, RAW_LAYOUT)
+    return read_table(spark, path, RAW_LAYOUT)
+
+
+def stored_windows(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """The aggregate of a stored raw table, written and read back."""
+    path = scratch_dir(spark, "aggregated")
+    write_table(aggregate_windows(raw), path, AGGREGATED_LAYOUT)
+    return read_table(spark, path, AGGREGATED_LAYOUT)
 
 
 # --- decoding, quality, cleaning ------------------------------------------------------
@@ -195,6 +200,26 @@ def heatmap(spark, folder):
     return activity_heatmap(trades(spark, folder))
 
 
+# The statements of a SQL client, on the tables' own names. The second sort key settles ties.
+SQL = {
+    "sql_latest_trades": "SELECT * FROM raw_stream_data ORDER BY trade_timestamp DESC, symbol LIMIT 20",
+    "sql_latest_windows": """
+        SELECT symbol, window_start, window_end, avg_price, min_price, max_price, total_volume, trade_count
+        FROM aggregated_data ORDER BY window_start DESC, symbol LIMIT 50""",
+    "sql_raw_count": "SELECT count(*) AS raw_count FROM raw_stream_data",
+    "sql_aggregated_count": "SELECT count(*) AS aggregated_count FROM aggregated_data",
+    "sql_summary": "SELECT * FROM stock_summary_latest",
+}
+
+
+def sql_query(statement: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        register_views(trades(spark, folder), windows(spark, folder))
+        return spark.sql(statement)
+
+    return run
+
+
 # --- vendor messages and publishing ---------------------------------------------------
 
 
@@ -221,11 +246,16 @@ def kafka_payload(spark, folder):
 
 
 def raw_table_roundtrip(spark, folder):
-    return stored_tables(spark, folder)[0]
+    return stored_raw(spark, folder)
 
 
 def raw_table_pruned_read(spark, folder):
-    return allow_symbols(time_range(stored_tables(spark, folder)[0], RANGE_START, RANGE_END), SUBSCRIBED)
+    return allow_symbols(time_range(stored_raw(spark, folder), RANGE_START, RANGE_END), SUBSCRIBED)
+
+
+def aggregated_table_range(spark, folder):
+    stored = stored_windows(spark, trades(spark, folder))
+    return time_range(stored, RANGE_START, RANGE_END, time_column="window_start")
 
 
 def idempotent_append(spark, folder):
@@ -240,7 +270,8 @@ def freshness(spark, folder):
 
 
 def reconcile_raw_agg(spark, folder):
-    return reconcile(*stored_tables(spark, folder))
+    raw = stored_raw(spark, folder)
+    return reconcile(raw, stored_windows(spark, raw))
 
 
 # --- streams --------------------------------------------------------------------------
@@ -359,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "raw_table_pruned_read": raw_table_pruned_read,
     "idempotent_append": idempotent_append,
     "freshness_report": freshness,
+    "aggregated_table_range": aggregated_table_range,
     "reconcile_raw_agg": reconcile_raw_agg,
     "stream_raw": stream_raw,
     "stream_agg_1m": stream_agg_1m,
@@ -367,6 +399,7 @@ QUERIES: dict[str, Query] = {
     "stream_late_data": stream_late_data,
     "stream_late_report": stream_late_report,
     "stream_reconcile": stream_reconcile,
+    **{name: sql_query(statement) for name, statement in SQL.items()},
 }
 
 

@@ -39,12 +39,26 @@ def window_metrics(
     width: str = WINDOW_WIDTH,
     watermark_delay: str = WATERMARK_DELAY,
     keep_null_event_time: bool = False,
+    copy_fanout: int = 1,
 ) -> DataFrame:
     """Decoded trades to the rows of the aggregate table."""
-    trades = clean_and_deduplicate(wire, watermark_delay, keep_null_event_time, columns=("price", "volume"))
+    needed = ("price", "volume")
+    trades = clean_and_deduplicate(wire, watermark_delay, keep_null_event_time, needed, copy_fanout)
     return aggregate_windows(trades, width)
 
 
+def _raw_rows(wire: DataFrame, flow: TradeFlow) -> DataFrame:
+    return clean_and_deduplicate(
+        wire, flow.watermark_delay, flow.keep_null_event_time, copy_fanout=flow.copy_fanout
+    )
+
+
+def _window_rows(wire: DataFrame, flow: TradeFlow) -> DataFrame:
+    return window_metrics(
+        wire, flow.window_width, flow.watermark_delay, flow.keep_null_event_time, flow.copy_fanout
+    )
+
+
 def bootstrap(spark: SparkSession, namespace: str, provider: str = "iceberg") -> tuple[str, str]:
     """Create the namespace and both tables where missing; their full names."""
     raw, aggregated = f"{namespace}.{RAW_TABLE}", f"{namespace}.{AGGREGATED_TABLE}"
@@ -55,9 +69,8 @@ def bootstrap(spark: SparkSession, namespace: str, provider: str = "iceberg") ->
 
 
 def start_raw(wire: DataFrame, target: str, flow: TradeFlow) -> StreamingQuery:
-    trades = clean_and_deduplicate(wire, flow.watermark_delay, flow.keep_null_event_time)
     return start_table_stream(
-        trades,
+        _raw_rows(wire, flow),
         target,
         RAW_LAYOUT,
         flow.checkpoint(RAW_TABLE),
@@ -68,9 +81,8 @@ def start_raw(wire: DataFrame, target: str, flow: TradeFlow) -> StreamingQuery:
 
 
 def start_aggregated(wire: DataFrame, target: str, flow: TradeFlow) -> StreamingQuery:
-    windows = window_metrics(wire, flow.window_width, flow.watermark_delay, flow.keep_null_event_time)
     return start_table_stream(
-        windows,
+        _window_rows(wire, flow),
         target,
         AGGREGATED_LAYOUT,
         flow.checkpoint(AGGREGATED_TABLE),
@@ -91,11 +103,9 @@ def run_trade_flow(wire: DataFrame, raw_target: str, aggregated_target: str, flo
 
 def run_serving_flow(wire: DataFrame, database: JdbcTarget, flow: TradeFlow) -> list[StreamingQuery]:
     """The same two streams into a serving database."""
-    trades = clean_and_deduplicate(wire, flow.watermark_delay, flow.keep_null_event_time)
-    windows = window_metrics(wire, flow.window_width, flow.watermark_delay, flow.keep_null_event_time)
     sinks = [
-        (trades, SERVING_RAW_TABLE, RAW_LAYOUT, SERVING_RAW_QUERY),
-        (windows, SERVING_AGGREGATED_TABLE, AGGREGATED_LAYOUT, SERVING_AGGREGATED_QUERY),
+        (_raw_rows(wire, flow), SERVING_RAW_TABLE, RAW_LAYOUT, SERVING_RAW_QUERY),
+        (_window_rows(wire, flow), SERVING_AGGREGATED_TABLE, AGGREGATED_LAYOUT, SERVING_AGGREGATED_QUERY),
     ]
     return [
         start_jdbc_stream(rows, database, table, layout, flow.checkpoint(table), query, flow.trigger)

@@ -20,8 +20,8 @@ def _complete(item: Column) -> Column:
 def explode_messages(messages: DataFrame, source: str, column: str = "value") -> DataFrame:
     """One row per complete trade in messages of type ``trade``.
 
-    ``price`` stays text, exactly as the vendor wrote it; volume and time are
-    typed. Items that lack a symbol, price, volume or time are skipped, as are
+    ``price`` stays text, so that no digit of it is lost on the way to the
+    topic; volume and time are typed. Items that lack a symbol, price, volume or time are skipped, as are
     messages of other types and text that is not JSON.
     """
     envelope = messages.select(F.inline(F.array(_message(column))))
