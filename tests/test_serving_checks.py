@@ -1,0 +1,73 @@
+from helpers import plan_of, trade, tuples, wire_rows
+from pyspark.sql import functions as F
+
+from tickloom.operators import (
+    avg_price_series,
+    clean_and_deduplicate,
+    freshness_report,
+    latest,
+    latest_trades,
+    latest_windows,
+    price_series,
+    reconcile,
+    register_views,
+    row_count,
+)
+from tickloom.plans import window_metrics
+
+
+def feed(spark):
+    return wire_rows(
+        spark,
+        *[trade(symbol=s, price=str(m + 1), at=f"10:{m:02d}:00", arrived=f"10:{m:02d}:03") for s in "AB" for m in range(30)],
+    )
+
+
+def test_latest_rows_are_newest_first_and_kept_per_task(spark):
+    rows = latest_trades(clean_and_deduplicate(feed(spark)))
+    assert "TakeOrderedAndProject" in plan_of(rows)
+    found = [(r.trade_timestamp.minute, r.symbol) for r in rows.collect()]
+    assert found == [(m, s) for m in range(29, 19, -1) for s in "AB"]
+    windows = latest_windows(window_metrics(feed(spark)))
+    assert windows.count() == 50 and "trade_date" not in windows.columns
+    assert latest(windows, 3, "window_start").count() == 3
+
+
+def test_series_are_ordered(spark):
+    prices = [r.price for r in price_series(clean_and_deduplicate(feed(spark))).collect()]
+    assert prices == sorted(prices) and len(prices) == 60
+    averages = [r.avg_price for r in avg_price_series(window_metrics(feed(spark))).collect()]
+    assert averages == sorted(averages) and len(averages) == 60
+
+
+def test_sql_on_the_views(spark):
+    trades, windows = clean_and_deduplicate(feed(spark)), window_metrics(feed(spark))
+    register_views(trades, windows)
+    assert spark.sql("SELECT count(*) AS raw_count FROM raw_stream_data").first()[0] == 60
+    assert spark.sql("SELECT count(*) AS aggregated_count FROM aggregated_data").first()[0] == 60
+    newest = spark.sql("SELECT * FROM raw_stream_data ORDER BY trade_timestamp DESC LIMIT 20")
+    assert newest.count() == 20 and newest.columns == trades.columns
+    assert spark.sql("SELECT symbol, trade_count FROM stock_summary_latest ORDER BY symbol").collect()[0][1] == 30
+    assert tuples(spark.table("raw_trades")) == tuples(trades)
+    assert tuples(spark.table("aggregated_trades_1m")) == tuples(windows)
+    assert row_count(trades, "n").first()[0] == 60
+
+
+def test_freshness(spark):
+    trades = clean_and_deduplicate(feed(spark))
+    report = {r.symbol: r for r in freshness_report(trades, as_of="2026-05-05T10:30:00").collect()}
+    assert report["A"].row_count == 30 and report["A"].ingest_lag_seconds == 3 and report["A"].age_seconds == 60
+    assert "age_seconds" not in freshness_report(trades).columns
+
+
+def test_reconcile_finds_both_kinds_of_gap(spark):
+    trades, windows = clean_and_deduplicate(feed(spark)), window_metrics(feed(spark))
+    assert {r.difference for r in reconcile(trades, windows).collect()} == {0}
+    lost = windows.where("symbol <> 'A' or minute(window_start) > 4")
+    assert {r.symbol: r.difference for r in reconcile(trades, lost).collect()} == {"A": 5, "B": 0}
+    assert {r.symbol: r.difference for r in reconcile(trades.where("symbol = 'B'"), windows).collect()} == {"A": -30, "B": 0}
+    open_windows = windows.where("minute(window_start) < 20")
+    closed = reconcile(trades, open_windows, closed_before="2026-05-05T10:20:00")
+    assert {(r.symbol, r.raw_count, r.difference) for r in closed.collect()} == {("A", 20, 0), ("B", 20, 0)}
+    column = reconcile(trades, open_windows, closed_before=F.lit("2026-05-05T10:20:00").cast("timestamp"))
+    assert tuples(column) == tuples(closed)

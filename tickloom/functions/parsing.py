@@ -32,7 +32,7 @@ def epoch_millis_to_time(text: Column) -> Column:
 
 def split_list(text: Column) -> Column:
     """``' a, b,'`` -> ``['a', 'b']``, for lists that are stored in a column."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda part: part != "")
+    return F.filter(F.transform(F.split(text, ","), lambda part: F.trim(part)), lambda part: part != "")
 
 
 def evaluate_once(df: DataFrame, *columns: Column, keep: tuple[str, ...] = ()) -> DataFrame:
