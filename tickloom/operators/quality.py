@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from tickloom.functions import evaluate_once, to_event_time, to_price, to_volume
 from tickloom.session import require_utc
 
-REQUIRED = ("symbol", "price", "volume", "trade_timestamp", "ingestion_timestamp")
-
 
 def type_trades(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Text columns to typed ones; a column that is typed already stays as it is.
@@ -30,29 +28,22 @@ def type_trades(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def reject_reason(keep_null_event_time: bool = False) -> Column:
-    """The first rule a typed trade fails, or NULL.
+# What an accepted trade satisfies, in the order in which the rules are applied.
+# NaN counts as above every number in Spark, so the price needs an upper bound
+# as well: it keeps NaN and infinity out of averages and maxima.
+RULES = {
+    "symbol": "symbol <> ''",
+    "price": "price > 0 AND price < double('infinity')",
+    "volume": "volume >= 0",
+    "time": "trade_timestamp IS NOT NULL AND ingestion_timestamp IS NOT NULL",
+}
+LITERAL_RULES = RULES | {"time": "has_times"}
 
-    NaN counts as above every number in Spark, so the price needs an upper
-    bound as well: it keeps NaN and infinity out of averages and maxima.
-    """
-    symbol_ok = F.col("symbol") != ""
-    price_ok = (F.col("price") > 0) & (F.col("price") < float("inf"))
-    volume_ok = F.col("volume") >= 0
-    if keep_null_event_time:
-        time_ok = F.col("has_times")
-    else:
-        time_ok = F.col("trade_timestamp").isNotNull() & F.col("ingestion_timestamp").isNotNull()
-
-    def fails(rule: Column) -> Column:
-        return ~F.coalesce(rule, F.lit(False))
-
-    return (
-        F.when(fails(symbol_ok), "symbol")
-        .when(fails(price_ok), "price")
-        .when(fails(volume_ok), "volume")
-        .when(fails(time_ok), "time")
-    )
+
+def reject_reason(rules: dict[str, str]) -> Column:
+    """The name of the first rule a typed trade does not satisfy, or NULL."""
+    cases = [f"WHEN NOT coalesce({rule}, false) THEN '{name}'" for name, rule in rules.items()]
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
 def classify(df: DataFrame, keep_null_event_time: bool = False, keep_input: bool = False) -> DataFrame:
@@ -68,7 +59,8 @@ def classify(df: DataFrame, keep_null_event_time: bool = False, keep_input: bool
         df = df.select("*", F.struct("*").alias("original"))
         keep = ("original",)
     typed = type_trades(df, keep)
-    return typed.withColumn("reject_reason", reject_reason(keep_null_event_time)).drop("has_times")
+    rules = LITERAL_RULES if keep_null_event_time else RULES
+    return typed.withColumn("reject_reason", reject_reason(rules)).drop("has_times")
 
 
 def accepted(classified: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ by row: deriving the messages shuffles nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import message_value
@@ -44,35 +44,25 @@ def _fits_few_tasks(table: DataFrame) -> bool:
     return table.rdd.getNumPartitions() < _cores(table.sparkSession)
 
 
-def _every(step: int) -> Column:
-    return F.col("event_id") % step == 0
-
-
-def _iso(time: Column) -> Column:
-    return F.concat(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
-
-
-def _seconds(count: Column) -> Column:
-    zero = F.lit(0)
-    return F.make_dt_interval(zero, zero, zero, count.cast("decimal(18,6)"))
-
-
-def _k() -> Column:
-    return F.get_json_object("props", "$.k")
+_ISO = "concat(date_format({time}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
+_K = "get_json_object(props, '$.k')"
 
 
 def wire_columns(events: DataFrame, shift_seconds: int = 0) -> DataFrame:
     """The six text columns of a wire trade; every eleventh event is sent twice."""
-    copies = F.when(_every(11), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    sent = events.select("*", F.explode(copies).alias("replay"))
-    time = F.col("ts") + _seconds(F.lit(shift_seconds))
-    return sent.select(
-        F.when(~_every(19), F.col("event_type")).alias("symbol"),
-        F.when(_every(13), "-1").when(_every(17), "abc").otherwise(F.col("value").cast("string")).alias("price"),
-        F.when(_every(29), "-5").when(_every(37), "10.5").otherwise(_k()).alias("volume"),
-        F.when(_every(23), "nope").otherwise(_iso(time)).alias("trade_timestamp"),
-        _iso(time + _seconds(1 + 5 * F.col("replay"))).alias("ingestion_timestamp"),
-        F.lit(SOURCE).alias("source"),
+    sent = events.selectExpr(
+        "*",
+        f"ts + make_dt_interval(0, 0, 0, {shift_seconds}) AS time",
+        "explode(if(event_id % 11 = 0, array(0, 1), array(0))) AS replay",
+    )
+    arrival = "time + make_dt_interval(0, 0, 0, 1 + 5 * replay)"
+    return sent.selectExpr(
+        "CASE WHEN event_id % 19 <> 0 THEN event_type END AS symbol",
+        "CASE WHEN event_id % 13 = 0 THEN '-1' WHEN event_id % 17 = 0 THEN 'abc' ELSE string(value) END AS price",
+        f"CASE WHEN event_id % 29 = 0 THEN '-5' WHEN event_id % 37 = 0 THEN '10.5' ELSE {_K} END AS volume",
+        f"CASE WHEN event_id % 23 = 0 THEN 'nope' ELSE {_ISO.format(time='time')} END AS trade_timestamp",
+        f"{_ISO.format(time=arrival)} AS ingestion_timestamp",
+        f"'{SOURCE}' AS source",
     )
 
 
@@ -82,6 +72,9 @@ def wire_messages(events: DataFrame, shift_seconds: int = 0) -> DataFrame:
     return wire.select(message_value(**{name: F.col(name) for name in wire.columns}).alias("value"))
 
 
+_ITEM = "struct<s: string, p: double, v: decimal(12,2), t: bigint>"
+
+
 def vendor_messages(events: DataFrame) -> DataFrame:
     """One vendor message per event, with up to three items; ``event_id`` and JSON text ``value``.
 
@@ -89,30 +82,29 @@ def vendor_messages(events: DataFrame) -> DataFrame:
     31 ping, 37 text that is not JSON, 41 a trade without ``data``, 43 with an
     empty one, 47 with one item that lacks its price. All others send the trade
     itself; every seventh adds an item without volume, every fifth a second
-    trade a millisecond later with a fractional volume.
+    trade a millisecond later with a fractional volume. JSON leaves out fields
+    that are NULL, which is how an item comes to lack one.
     """
-    millis = F.unix_millis(F.col("ts").cast("timestamp"))
-    volume = _k().cast("decimal(12,2)")
-    none = F.lit(None)
-
-    def item(price: Column, size: Column, time: Column) -> Column:
-        return F.struct(
-            F.col("event_type").alias("s"),
-            price.cast("double").alias("p"),
-            size.cast("decimal(12,2)").alias("v"),
-            time.alias("t"),
-        )
-
-    price = F.col("value")
-    own = F.array(item(price, volume, millis))
-    no_price = F.array(item(none, volume, millis))
-    no_volume = F.array(item(price, none, millis))
-    second = F.array(item(price, volume + 0.75, millis + 1))
-    nothing = F.filter(own, lambda _: F.lit(False))
-
-    data = F.when(_every(43), nothing).when(_every(47), no_price).otherwise(
-        F.concat(own, F.when(_every(7), no_volume).otherwise(nothing), F.when(_every(5), second).otherwise(nothing))
+    trade = events.selectExpr(
+        "event_id", "event_type AS s", "value AS p", f"decimal({_K}) AS v", "unix_millis(timestamp(ts)) AS t"
     )
-    trade = F.to_json(F.struct(F.lit("trade").alias("type"), F.when(~_every(41), data).alias("data")))
-    value = F.when(_every(31), '{"type":"ping"}').when(_every(37), "not json").otherwise(trade)
-    return events.select("event_id", value.alias("value"))
+    nothing = f"cast(array() AS array<{_ITEM}>)"
+
+    def items(p: str = "p", v: str = "v", t: str = "t") -> str:
+        return f"cast(array(named_struct('s', s, 'p', {p}, 'v', {v}, 't', {t})) AS array<{_ITEM}>)"
+
+    data = f"""CASE
+        WHEN event_id % 43 = 0 THEN {nothing}
+        WHEN event_id % 47 = 0 THEN {items(p="NULL")}
+        ELSE concat(
+          {items()},
+          if(event_id % 7 = 0, {items(v="NULL")}, {nothing}),
+          if(event_id % 5 = 0, {items(v="v + 0.75", t="t + 1")}, {nothing}))
+        END"""
+    message = f"""CASE
+        WHEN event_id % 31 = 0 THEN '{{"type":"ping"}}'
+        WHEN event_id % 37 = 0 THEN 'not json'
+        WHEN event_id % 41 = 0 THEN '{{"type":"trade"}}'
+        ELSE to_json(struct('trade' AS type, {data} AS data))
+        END"""
+    return trade.selectExpr("event_id", f"{message} AS value")

@@ -71,13 +71,13 @@ def comparable(df: DataFrame) -> DataFrame:
     """Timestamps without zone and rounded averages, as another engine prints them."""
     columns = []
     for field in df.schema:
-        column = F.col(field.name)
         if isinstance(field.dataType, TimestampType):
-            column = column.cast("timestamp_ntz")
+            columns.append(f"cast({field.name} AS timestamp_ntz) AS {field.name}")
         elif field.name == "avg_price":
-            column = F.round(column, 6)
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            columns.append("round(avg_price, 6) AS avg_price")
+        else:
+            columns.append(field.name)
+    return df.selectExpr(*columns)
 
 
 # --- inputs ---------------------------------------------------------------------------
