@@ -73,3 +73,25 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert one.startswith(shared) and one != two
+
+
+class FakeSession:
+    """Just enough of a session to ask for a scratch folder."""
+
+    def __init__(self, master, folder=None):
+        self.master = master
+        self.sparkContext = self.conf = self
+        self.folder = folder
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+
+def test_scratch_without_a_shared_folder():
+    assert scratch_dir(FakeSession("local[2]"), "x").startswith("/")
+    assert scratch_dir(FakeSession("spark://host:7077", "hdfs://shared/"), "x").startswith("hdfs://shared/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(FakeSession("spark://host:7077"), "x")

@@ -13,7 +13,7 @@ from tickloom.plans.event_feed import read_events, wire_messages
 from tickloom.plans.queries import wire, wire_stream
 from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
 from tickloom.sources import decode_wire, read_table, read_wire_files
-from tickloom.streaming import late_rows_dropped, progress_report, start_batch_stream
+from tickloom.streaming import late_rows_dropped, progress_report, start_batch_stream, start_table_stream
 
 ONCE = {"availableNow": True}
 BASE = dt.datetime(2026, 5, 5, 10, tzinfo=dt.timezone.utc)
@@ -137,6 +137,25 @@ def test_batch_stream_to_a_path(spark, small, tmp_path):
     assert stored(read_table(spark, f"{tmp_path}/raw", RAW_LAYOUT)) == stored(expected)
 
 
+@pytest.mark.parametrize("start", ["files", "batches"])
+def test_a_hot_partition_has_several_writers_and_no_more(spark, tmp_path, start):
+    stream = clean_and_deduplicate(send(spark, tmp_path, *[("HOT", second, 1) for second in range(500)], ("COLD", 1, 1)))
+    starter = start_table_stream if start == "files" else start_batch_stream
+    query = starter(stream, f"{tmp_path}/raw", RAW_LAYOUT, f"{tmp_path}/cp", "q", ONCE, writers_per_partition=3)
+    query.awaitTermination()
+    files = [str(path) for path in (tmp_path / "raw").rglob("*.parquet")]
+    assert 1 < sum("symbol=HOT" in name for name in files) <= 3
+    assert sum("symbol=COLD" in name for name in files) == 1
+    assert read_table(spark, f"{tmp_path}/raw", RAW_LAYOUT).count() == 501
+
+
+def test_state_is_kept_in_rocksdb(spark, tmp_path):
+    query = start_raw(send(spark, tmp_path, ("A", 0, 1)), f"{tmp_path}/raw", flow(tmp_path))
+    query.awaitTermination()
+    operators = [op for p in query.recentProgress for op in json.loads(p.json)["stateOperators"]]
+    assert operators and all(any("rocksdb" in metric for metric in op["customMetrics"]) for op in operators)
+
+
 def test_bad_messages_do_not_stop_a_stream(spark, tmp_path):
     folder = tmp_path / "feed"
     folder.mkdir()

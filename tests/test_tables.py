@@ -10,7 +10,7 @@ from tickloom.plans import bootstrap, window_metrics
 from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
 from tickloom.sources import read_table, time_range
 from tickloom.streaming import append_batch, distribute, table_ddl, write_table
-from tickloom.streaming.tables import arrange
+from tickloom.streaming.tables import arrange, in_session_catalog
 
 
 def some_trades(spark, count=300, seed=1):
@@ -117,6 +117,11 @@ def test_appending_a_batch_again_changes_nothing(spark, tmp_path, kind):
     assert tuples(read_table(spark, target, RAW_LAYOUT)) == tuples(first.unionByName(second))
 
 
+def test_catalog_of_a_table_name(spark):
+    assert in_session_catalog(spark, "ns.t") and in_session_catalog(spark, "spark_catalog.ns.t")
+    assert not in_session_catalog(spark, "lake.ns.t")
+
+
 def test_replayed_part_of_a_table_batch_is_completed(spark):
     target, _ = bootstrap(spark, f"ns_{uuid.uuid4().hex}", provider="parquet")
     batch = some_trades(spark)

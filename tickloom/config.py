@@ -27,6 +27,8 @@ PRODUCER_RETRIES = 10
 PRODUCER_LINGER_MS = 100
 SYMBOLS = "AAPL,MSFT,AMZN"
 
+WRITERS_PER_PARTITION = 4
+
 
 @dataclass(frozen=True)
 class KafkaSource:
@@ -81,7 +83,7 @@ class TradeFlow:
     # Groups in which the copies of one trade are removed first; see deduplicate.
     copy_fanout: int = 1
     # Writer tasks that share one (date, symbol) partition of a micro-batch.
-    writers_per_partition: int = 4
+    writers_per_partition: int = WRITERS_PER_PARTITION
     # Keyword arguments of DataStreamWriter.trigger; None means as soon as possible.
     trigger: dict | None = None
 

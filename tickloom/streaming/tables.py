@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tickloom.config import WRITERS_PER_PARTITION
 from tickloom.schema import Layout
 from tickloom.sources.tables import is_path
 
@@ -38,51 +39,76 @@ def ensure_table(spark: SparkSession, table: str, layout: Layout, provider: str
     spark.sql(table_ddl(table, layout, provider))
 
 
-def distribute(df: DataFrame, layout: Layout, writers_per_partition: int = 4) -> DataFrame:
+def distribute(df: DataFrame, layout: Layout, writers_per_partition: int = WRITERS_PER_PARTITION) -> DataFrame:
     """Bring the rows of one table partition together before they are written.
 
     In batch, rebalancing lets adaptive execution split the partition of a hot
-    symbol by size and merge small ones. A stream has no such step, so the rows
-    of a partition are spread over a fixed number of writers by event time.
+    symbol by size and merge small ones. Streams run without adaptive
+    execution, micro-batches handed to a callback included; there the rows of a
+    partition are spread over a fixed number of writers by event time.
     """
-    if not df.isStreaming:
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if adaptive and not df.isStreaming:
         return df.hint("rebalance", *layout.partition_by)
     writer = F.pmod(F.xxhash64(layout.time_column), F.lit(writers_per_partition))
     return df.repartition(*[F.col(name) for name in layout.partition_by], writer)
 
 
-def arrange(df: DataFrame, layout: Layout) -> DataFrame:
+def arrange(df: DataFrame, layout: Layout, writers_per_partition: int = WRITERS_PER_PARTITION) -> DataFrame:
     """Rows as they lie in the files of a batch write: partition by partition, in time order.
 
     The order makes the min/max statistics of Parquet row groups narrow, so a
     query for a symbol and a time span skips most of them.
     """
-    return distribute(df.select(*layout.columns), layout).sortWithinPartitions(*layout.order_by)
+    rows = distribute(df.select(*layout.columns), layout, writers_per_partition)
+    return rows.sortWithinPartitions(*layout.order_by)
 
 
-def write_table(df: DataFrame, path: str, layout: Layout, mode: str = "errorifexists") -> None:
-    arrange(df, layout).write.mode(mode).partitionBy(*layout.partition_by).parquet(path)
+def write_table(
+    df: DataFrame,
+    path: str,
+    layout: Layout,
+    mode: str = "errorifexists",
+    writers_per_partition: int = WRITERS_PER_PARTITION,
+) -> None:
+    arrange(df, layout, writers_per_partition).write.mode(mode).partitionBy(*layout.partition_by).parquet(path)
 
 
-def append_batch(batch: DataFrame, batch_id: int, target: str, layout: Layout) -> None:
+def append_batch(
+    batch: DataFrame,
+    batch_id: int,
+    target: str,
+    layout: Layout,
+    writers_per_partition: int = WRITERS_PER_PARTITION,
+) -> None:
     """Append one micro-batch so that applying it again changes nothing.
 
     Under a path every batch owns the folder ``batch_id=<n>`` and replaces it.
     In a catalog table the rows are added whose key is not there yet; keys are
-    unique after deduplication and never NULL in strict cleaning.
+    unique after deduplication and never NULL in strict cleaning. Catalogs other
+    than the session's own shuffle and sort by the table's write properties.
     """
     if is_path(target):
-        write_table(batch, f"{target.rstrip('/')}/batch_id={batch_id}", layout, mode="overwrite")
+        folder = f"{target.rstrip('/')}/batch_id={batch_id}"
+        write_table(batch, folder, layout, "overwrite", writers_per_partition)
         return
     spark = batch.sparkSession
     table = spark.table(target)
 
     def insert(rows: DataFrame) -> None:
-        arrange(rows, layout).select(*table.columns).write.insertInto(target)
+        if in_session_catalog(spark, target):
+            arrange(rows, layout, writers_per_partition).select(*table.columns).write.insertInto(target)
+        else:
+            rows.select(*table.columns).writeTo(target).append()
 
     append_unseen(batch, layout, lambda low, high: table, insert)
 
 
+def in_session_catalog(spark: SparkSession, table: str) -> bool:
+    parts = table.split(".")
+    return (parts[0] if len(parts) > 2 else spark.catalog.currentCatalog()) == "spark_catalog"
+
+
 def append_unseen(
     batch: DataFrame,
     layout: Layout,
@@ -126,7 +152,7 @@ def start_table_stream(
     checkpoint: str,
     query_name: str,
     trigger: dict | None = None,
-    writers_per_partition: int = 4,
+    writers_per_partition: int = WRITERS_PER_PARTITION,
 ) -> StreamingQuery:
     """Append a stream to a table, each row once.
 
@@ -137,7 +163,7 @@ def start_table_stream(
     if is_path(target):
         files = stream_writer(distribute(df, layout, writers_per_partition), checkpoint, query_name, trigger)
         return files.format("parquet").partitionBy(*layout.partition_by).start(target)
-    return start_batch_stream(df, target, layout, checkpoint, query_name, trigger)
+    return start_batch_stream(df, target, layout, checkpoint, query_name, trigger, writers_per_partition)
 
 
 def start_batch_stream(
@@ -147,10 +173,11 @@ def start_batch_stream(
     checkpoint: str,
     query_name: str,
     trigger: dict | None = None,
+    writers_per_partition: int = WRITERS_PER_PARTITION,
 ) -> StreamingQuery:
     """Append a stream by idempotent micro-batches, to a path or a catalog table."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, batch_id, target, layout)
+        append_batch(batch, batch_id, target, layout, writers_per_partition)
 
     return stream_writer(df, checkpoint, query_name, trigger).foreachBatch(append).start()
