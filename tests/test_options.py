@@ -1,15 +1,16 @@
 """Connector options. The Kafka and database drivers are not installed here, so nothing is sent."""
 
+import duckdb
 import pytest
 from helpers import trade, wire_rows
 
 from tickloom.config import JdbcTarget, KafkaSink, KafkaSource, TradeFlow
 from tickloom.operators import clean_and_deduplicate
-from tickloom.schema import RAW_LAYOUT
+from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
 from tickloom.session import scratch_dir
 from tickloom.sources import kafka_source_options, read_wire_stream
 from tickloom.streaming import kafka_sink_options
-from tickloom.streaming.jdbc import append_jdbc_batch, read_options, write_options
+from tickloom.streaming.jdbc import append_jdbc_batch, read_options, serving_ddl, write_options
 
 
 def test_kafka_source_options():
@@ -58,6 +59,16 @@ def test_jdbc_options():
     assert "partitionColumn" not in read_options(target, "raw_trades", RAW_LAYOUT, "x", "x")
 
 
+@pytest.mark.parametrize(("table", "layout"), [("raw_trades", RAW_LAYOUT), ("aggregated_trades_1m", AGGREGATED_LAYOUT)])
+def test_serving_tables(table, layout):
+    con = duckdb.connect()
+    for _ in range(2):
+        con.execute(serving_ddl(table, layout))
+    columns = con.execute(f"DESCRIBE {table}").fetchall()
+    assert [column[0] for column in columns] == layout.columns
+    assert {column[0] for column in columns if column[2] == "YES"} == {"source"} & set(layout.columns)
+
+
 def test_empty_jdbc_batch_opens_no_connection(spark):
     target = JdbcTarget.postgres("nowhere", 1, "none", "me", "secret")
     append_jdbc_batch(clean_and_deduplicate(wire_rows(spark, trade(price="0"))), target, "raw_trades", RAW_LAYOUT)

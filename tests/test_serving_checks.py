@@ -6,6 +6,7 @@ from tickloom.operators import (
     clean_and_deduplicate,
     freshness_report,
     latest,
+    latest_stored,
     latest_trades,
     latest_windows,
     price_series,
@@ -14,6 +15,9 @@ from tickloom.operators import (
     row_count,
 )
 from tickloom.plans import window_metrics
+from tickloom.schema import RAW_LAYOUT
+from tickloom.sources import read_table
+from tickloom.streaming import write_table
 
 
 def feed(spark):
@@ -33,6 +37,17 @@ def test_latest_rows_are_newest_first_and_kept_per_task(spark):
     assert latest(windows, 3, "window_start").count() == 3
 
 
+def test_latest_of_a_stored_table_reads_only_the_newest_dates(spark, tmp_path):
+    days = [(f"2026-05-{day:02d}T{hour:02d}:00:00+00:00") for day in range(1, 11) for hour in range(3)]
+    rows = clean_and_deduplicate(wire_rows(spark, *[("A", "1", "1", day, day) for day in days]))
+    write_table(rows, f"{tmp_path}/raw", RAW_LAYOUT)
+    stored = read_table(spark, f"{tmp_path}/raw", RAW_LAYOUT)
+    for count in (1, 3, 4, 30, 99):
+        found = latest_stored(stored, count, "trade_timestamp")
+        assert [tuple(r) for r in found.collect()] == [tuple(r) for r in latest(rows, count, "trade_timestamp").collect()]
+    assert "trade_date" in plan_of(latest_stored(stored, 4, "trade_timestamp")).split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_series_are_ordered(spark):
     prices = [r.price for r in price_series(clean_and_deduplicate(feed(spark))).collect()]
     assert prices == sorted(prices) and len(prices) == 60

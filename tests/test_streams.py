@@ -149,6 +149,21 @@ def test_a_hot_partition_has_several_writers_and_no_more(spark, tmp_path, start)
     assert read_table(spark, f"{tmp_path}/raw", RAW_LAYOUT).count() == 501
 
 
+def test_literal_mode_streams_rows_without_event_time(spark, small, tmp_path):
+    literal = flow(tmp_path, keep_null_event_time=True)
+    for query in run_trade_flow(wire_stream(spark, small), f"{tmp_path}/raw", f"{tmp_path}/aggregated", literal):
+        query.awaitTermination()
+    expected = clean_and_deduplicate(wire(spark, small), keep_null_event_time=True)
+    assert expected.where("trade_timestamp IS NULL").count() > 0
+    # Which of the rows without a time stays is open, so only their number per symbol is compared.
+    raw = read_table(spark, f"{tmp_path}/raw", RAW_LAYOUT)
+    assert stored(raw.where("trade_timestamp IS NOT NULL")) == stored(expected.where("trade_timestamp IS NOT NULL"))
+    assert tuples(raw.where("trade_timestamp IS NULL").groupBy("symbol").count()) == tuples(
+        expected.where("trade_timestamp IS NULL").groupBy("symbol").count()
+    )
+    assert read_table(spark, f"{tmp_path}/aggregated", AGGREGATED_LAYOUT).where("window_start IS NULL").count() == 0
+
+
 def test_state_is_kept_in_rocksdb(spark, tmp_path):
     query = start_raw(send(spark, tmp_path, ("A", 0, 1)), f"{tmp_path}/raw", flow(tmp_path))
     query.awaitTermination()

@@ -11,6 +11,7 @@ from tickloom.operators.quality import accepted, accepted_input, allow_symbols,
 from tickloom.operators.serving import (
     avg_price_series,
     latest,
+    latest_stored,
     latest_trades,
     latest_windows,
     price_series,
@@ -31,6 +32,7 @@ __all__ = [
     "deduplicate",
     "freshness_report",
     "latest",
+    "latest_stored",
     "latest_trades",
     "latest_windows",
     "price_series",

@@ -31,6 +31,21 @@ def latest_windows(windows: DataFrame, count: int = 50) -> DataFrame:
     return latest(windows.select(*columns), count, "window_start")
 
 
+def latest_stored(table: DataFrame, count: int, by: str, date_column: str = "trade_date") -> DataFrame:
+    """``latest`` on a table partitioned by the date of ``by``, without reading its older partitions.
+
+    The newest ``count`` dates hold at least ``count`` rows, so counting rows per
+    date, which touches no data column, tells how far back the answer can lie.
+    """
+    per_date = table.where(F.col(date_column).isNotNull()).groupBy(date_column).agg(F.count("*").alias("rows"))
+    found = 0
+    for date, rows in per_date.orderBy(F.col(date_column).desc()).limit(count).collect():
+        found += rows
+        if found >= count:
+            return latest(table.where(F.col(date_column) >= F.lit(date)), count, by)
+    return latest(table, count, by)
+
+
 def row_count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count("*").alias(name))
 

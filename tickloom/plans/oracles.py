@@ -274,12 +274,13 @@ GROUP BY symbol, trade_date""",
     ),
 }
 
-# The SQL statements ask for what these DataFrame queries compute.
-for _statement, _query in {
+# These ask in another way, by SQL or of a stored table, for what another query computes.
+for _name, _same in {
     "sql_latest_trades": "latest_trades",
+    "raw_table_latest": "latest_trades",
     "sql_latest_windows": "latest_windows",
     "sql_raw_count": "raw_count",
     "sql_aggregated_count": "aggregated_count",
     "sql_summary": "symbol_summary",
 }.items():
-    ORACLES[_statement] = ORACLES[_query]
+    ORACLES[_name] = ORACLES[_same]

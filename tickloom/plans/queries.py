@@ -19,6 +19,7 @@ from tickloom.operators import (
     clean_and_deduplicate,
     clean_trades,
     freshness_report,
+    latest_stored,
     latest_trades,
     latest_windows,
     price_series,
@@ -253,6 +254,10 @@ def raw_table_pruned_read(spark, folder):
     return allow_symbols(time_range(stored_raw(spark, folder), RANGE_START, RANGE_END), SUBSCRIBED)
 
 
+def raw_table_latest(spark, folder):
+    return latest_stored(stored_raw(spark, folder), 20, "trade_timestamp")
+
+
 def aggregated_table_range(spark, folder):
     stored = stored_windows(spark, trades(spark, folder))
     return time_range(stored, RANGE_START, RANGE_END, time_column="window_start")
@@ -388,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "kafka_payload": kafka_payload,
     "raw_table_roundtrip": raw_table_roundtrip,
     "raw_table_pruned_read": raw_table_pruned_read,
+    "raw_table_latest": raw_table_latest,
     "idempotent_append": idempotent_append,
     "freshness_report": freshness,
     "aggregated_table_range": aggregated_table_range,

@@ -10,6 +10,29 @@ from tickloom.schema import Layout
 from tickloom.streaming.tables import append_unseen, stream_writer
 
 
+# How the serving tables spell the types.
+SERVING_TYPES = {
+    "string": "TEXT",
+    "double": "DOUBLE PRECISION",
+    "bigint": "BIGINT",
+    "timestamp": "TIMESTAMPTZ",
+    "date": "DATE",
+}
+OPTIONAL = {"source"}
+
+
+def serving_ddl(table: str, layout: Layout) -> str:
+    """``CREATE TABLE`` for the database, for whoever administers it; only ``source`` may be NULL.
+
+    Without it Spark creates the table on the first append, all columns nullable.
+    """
+    columns = [
+        f"{field.name} {SERVING_TYPES[field.dataType.simpleString()]}{'' if field.name in OPTIONAL else ' NOT NULL'}"
+        for field in layout.schema
+    ]
+    return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)})"
+
+
 def connection_options(target: JdbcTarget, table: str) -> dict[str, str]:
     return {
         "url": target.url,
