@@ -50,6 +50,8 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--raw", required=True, help="catalog table or path")
     stream.add_argument("--aggregated", required=True, help="catalog table or path")
 
+    stream.add_argument("--rejected", help="catalog table or path for rejected rows")
+
     serve = commands.add_parser("serve", parents=[flow, source], help="trade stream to a serving database")
     serve.add_argument("--url", required=True, help="JDBC URL")
     serve.add_argument("--user", required=True)
@@ -85,7 +87,7 @@ def main(arguments: list[str] | None = None) -> None:
     trigger = {"availableNow": True} if args.once else None
     flow = TradeFlow(args.checkpoints, watermark_delay=args.watermark, trigger=trigger)
     if args.job == "stream":
-        queries = run_trade_flow(wire_source(spark, args), args.raw, args.aggregated, flow)
+        queries = run_trade_flow(wire_source(spark, args), args.raw, args.aggregated, flow, args.rejected)
     elif args.job == "serve":
         database = JdbcTarget(args.url, args.user, os.environ[args.password_variable])
         queries = run_serving_flow(wire_source(spark, args), database, flow)

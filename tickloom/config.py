@@ -28,6 +28,8 @@ PRODUCER_LINGER_MS = 100
 SYMBOLS = "AAPL,MSFT,AMZN"
 
 WRITERS_PER_PARTITION = 4
+REJECT_TABLE = "rejected_stream_data"
+REJECT_QUERY = "rejected_stream_data_writer"
 
 
 @dataclass(frozen=True)

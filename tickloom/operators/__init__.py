@@ -7,7 +7,7 @@ from tickloom.operators.aggregate import (
 )
 from tickloom.operators.checks import freshness_report, reconcile
 from tickloom.operators.clean import clean_and_deduplicate, clean_trades, deduplicate
-from tickloom.operators.quality import accepted, accepted_input, allow_symbols, classify, reject_counts, rejected
+from tickloom.operators.quality import accepted, accepted_input, allow_symbols, classify, reject_counts, rejected, rejected_input
 from tickloom.operators.serving import (
     avg_price_series,
     latest,
@@ -40,6 +40,7 @@ __all__ = [
     "register_views",
     "reject_counts",
     "rejected",
+    "rejected_input",
     "row_count",
     "symbol_summary",
     "total_trades",

@@ -77,6 +77,11 @@ def rejected(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("reject_reason").isNotNull())
 
 
+def rejected_input(classified: DataFrame) -> DataFrame:
+    """The rejected rows as they came in, with the reason (of ``classify(..., keep_input=True)``)."""
+    return rejected(classified).select("original.*", "reject_reason")
+
+
 def allow_symbols(df: DataFrame, symbols: list[str]) -> DataFrame:
     """Only the trades of subscribed symbols."""
     return df.where(F.col("symbol").isin(list(symbols)))

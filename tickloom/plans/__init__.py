@@ -7,6 +7,7 @@ from tickloom.plans.trade_flow import (
     run_trade_flow,
     start_aggregated,
     start_raw,
+    start_rejects,
     window_metrics,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "run_trade_flow",
     "start_aggregated",
     "start_raw",
+    "start_rejects",
     "window_metrics",
 ]

@@ -277,6 +277,7 @@ GROUP BY symbol, trade_date""",
 # These ask in another way, by SQL or of a stored table, for what another query computes.
 for _name, _same in {
     "sql_latest_trades": "latest_trades",
+    "stream_rejects": "reject_rows",
     "raw_table_latest": "latest_trades",
     "sql_latest_windows": "latest_windows",
     "sql_raw_count": "raw_count",

@@ -26,7 +26,7 @@ from tickloom.operators import (
     reconcile,
     register_views,
     reject_counts,
-    rejected,
+    rejected_input,
     row_count,
     symbol_summary,
     total_trades,
@@ -40,8 +40,8 @@ from tickloom.plans.event_feed import (
     wire_columns,
     wire_messages,
 )
-from tickloom.plans.trade_flow import ingest, start_aggregated, start_raw, window_metrics
-from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
+from tickloom.plans.trade_flow import ingest, start_aggregated, start_raw, start_rejects, window_metrics
+from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT, REJECT_SCHEMA
 from tickloom.session import prepare_session, scratch_dir
 from tickloom.sources import (
     decode_wire,
@@ -142,8 +142,7 @@ def reject_report(spark, folder):
 
 
 def reject_rows(spark, folder):
-    letters = rejected(classify(wire(spark, folder), keep_input=True))
-    return letters.select("original.*", "reject_reason")
+    return rejected_input(classify(wire(spark, folder), keep_input=True))
 
 
 def symbol_allow_list(spark, folder):
@@ -302,6 +301,12 @@ def stream_raw(spark, folder):
     return _stored(read_table(spark, f"{root}/raw", RAW_LAYOUT))
 
 
+def stream_rejects(spark, folder):
+    root = scratch_dir(spark, "stream-rejects")
+    _finish(start_rejects(wire_stream(spark, folder), f"{root}/rejects", _flow(root)))
+    return spark.read.schema(REJECT_SCHEMA).parquet(f"{root}/rejects")
+
+
 def stream_agg_1m(spark, folder):
     root = scratch_dir(spark, "stream-agg")
     _finish(start_aggregated(wire_stream(spark, folder), f"{root}/aggregated", _flow(root)))
@@ -399,6 +404,7 @@ QUERIES: dict[str, Query] = {
     "aggregated_table_range": aggregated_table_range,
     "reconcile_raw_agg": reconcile_raw_agg,
     "stream_raw": stream_raw,
+    "stream_rejects": stream_rejects,
     "stream_agg_1m": stream_agg_1m,
     "stream_batch_append": stream_batch_append,
     "stream_restart": stream_restart,

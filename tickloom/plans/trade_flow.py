@@ -10,6 +10,8 @@ from tickloom.config import (
     AGGREGATED_TABLE,
     RAW_QUERY,
     RAW_TABLE,
+    REJECT_QUERY,
+    REJECT_TABLE,
     SERVING_AGGREGATED_QUERY,
     SERVING_AGGREGATED_TABLE,
     SERVING_RAW_QUERY,
@@ -20,9 +22,18 @@ from tickloom.config import (
     KafkaSink,
     TradeFlow,
 )
-from tickloom.operators import accepted_input, aggregate_windows, allow_symbols, classify, clean_and_deduplicate, rejected
+from tickloom.operators import (
+    accepted_input,
+    aggregate_windows,
+    allow_symbols,
+    classify,
+    clean_and_deduplicate,
+    rejected,
+    rejected_input,
+)
 from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
 from tickloom.sources import explode_messages
+from tickloom.sources.tables import is_path
 from tickloom.streaming import (
     ensure_namespace,
     ensure_table,
@@ -32,6 +43,7 @@ from tickloom.streaming import (
     start_table_stream,
     trade_messages,
 )
+from tickloom.streaming.tables import stream_writer
 
 
 def window_metrics(
@@ -92,13 +104,31 @@ def start_aggregated(wire: DataFrame, target: str, flow: TradeFlow) -> Streaming
     )
 
 
-def run_trade_flow(wire: DataFrame, raw_target: str, aggregated_target: str, flow: TradeFlow) -> list[StreamingQuery]:
-    """One decoded stream to both tables, as two queries.
+def start_rejects(wire: DataFrame, target: str, flow: TradeFlow) -> StreamingQuery:
+    """The rejected rows as they came in, each with its reason."""
+    rows = rejected_input(classify(wire, flow.keep_null_event_time, keep_input=True))
+    writer = stream_writer(rows, flow.checkpoint(REJECT_TABLE), REJECT_QUERY, flow.trigger)
+    if is_path(target):
+        return writer.format("parquet").partitionBy("reject_reason").start(target)
+    return writer.toTable(target)
+
+
+def run_trade_flow(
+    wire: DataFrame,
+    raw_target: str,
+    aggregated_target: str,
+    flow: TradeFlow,
+    reject_target: str | None = None,
+) -> list[StreamingQuery]:
+    """One decoded stream to both tables and, on request, its rejected rows to a third.
 
     Each query has its own checkpoint and reads the source for itself, so that
-    one can fail, restart or be replayed without the other.
+    one can fail, restart or be replayed without the others.
     """
-    return [start_raw(wire, raw_target, flow), start_aggregated(wire, aggregated_target, flow)]
+    queries = [start_raw(wire, raw_target, flow), start_aggregated(wire, aggregated_target, flow)]
+    if reject_target is not None:
+        queries.append(start_rejects(wire, reject_target, flow))
+    return queries
 
 
 def run_serving_flow(wire: DataFrame, database: JdbcTarget, flow: TradeFlow) -> list[StreamingQuery]:

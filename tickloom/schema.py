@@ -48,6 +48,9 @@ RAW_SCHEMA = _struct(
     trade_date=DateType(),
 )
 
+# A rejected row: the wire text as it came in, and the first rule it failed.
+REJECT_SCHEMA = StructType([*WIRE_SCHEMA.fields, StructField("reject_reason", StringType(), True)])
+
 AGGREGATED_SCHEMA = _struct(
     symbol=StringType(),
     window_start=TimestampType(),
