@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.config import WINDOW_WIDTH
-from tickloom.operators.clean import with_trade_date
-from tickloom.schema import AGGREGATED_LAYOUT
 
 
 def aggregate_windows(trades: DataFrame, width: str = WINDOW_WIDTH) -> DataFrame:
@@ -24,12 +22,14 @@ def aggregate_windows(trades: DataFrame, width: str = WINDOW_WIDTH) -> DataFrame
         F.try_sum("volume").alias("total_volume"),
         F.count("*").alias("trade_count"),
     )
-    flat = windows.select(
-        "*",
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+    metrics = ("avg_price", "min_price", "max_price", "total_volume", "trade_count")
+    return windows.selectExpr(
+        "symbol",
+        "window.start AS window_start",
+        "window.end AS window_end",
+        *metrics,
+        "to_date(window.start) AS trade_date",
     )
-    return with_trade_date(flat, "window_start").select(*AGGREGATED_LAYOUT.columns)
 
 
 def symbol_summary(windows: DataFrame) -> DataFrame:

@@ -55,7 +55,8 @@ def deduplicate(
     first = [name for name in survivor_order if name in df.columns and name not in keys]
     rest = [name for name in df.columns if name not in first and name not in keys]
     survivor = F.min(F.struct(*first, *rest)).alias("survivor")
-    return df.groupBy(*keys).agg(survivor).select(*keys, "survivor.*").select(*df.columns)
+    columns = [name if name in keys else f"survivor.{name}" for name in df.columns]
+    return df.groupBy(*keys).agg(survivor).select(*columns)
 
 
 def clean_and_deduplicate(
