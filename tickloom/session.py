@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,13 +45,12 @@ def require_utc(spark: SparkSession) -> None:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local session that names no
-    such folder gets one of its own, removed when Python exits.
+    It lies under ``spark.checkpoint.dir``. A session that names none gets it
+    under the warehouse, the other folder that a cluster's executors share.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tickloom-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    )
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
