@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tickloom.llm.byte_bpe import encode_decode
 from tickloom.llm.sharding import interleave
 from tickloom.llm.tables import table
 from tickloom.session import prepare_session
@@ -13,11 +15,17 @@ from tickloom.session import prepare_session
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_decode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return interleave(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op9_sharding": op9_sharding,
 }
 
