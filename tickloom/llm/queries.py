@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm.byte_bpe import encode_decode
+from tickloom.llm.packing import pack
 from tickloom.llm.sharding import interleave
 from tickloom.llm.tables import table
 from tickloom.session import prepare_session
@@ -24,9 +25,14 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return interleave(table(spark, folder, "documents"))
 
 
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op9_sharding": op9_sharding,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {}
