@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tickloom.llm.arrow import column, texts
+from tickloom.llm.tables import written
 
 CAPACITY = 2048
 END_ID = 1
@@ -131,31 +132,61 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _number(rows: DataFrame, within: list[str]) -> DataFrame:
+    """Adds ``_n``, the piece's number in its group, and ``_full``: whether its sequence is filled."""
+    group = Window.partitionBy(*within)
+    order = [F.col(c) for c in ("doc_id", "start", "ids_crc32")]
+    return (
+        rows.withColumn("_n", F.row_number().over(group.orderBy(*order)) - 1)
+        .withColumn("_count", F.count("*").over(group))
+        .withColumn("_full", F.expr("_n < _count - _count % _class"))
+        .drop("_count")
+    )
+
+
 def harmonic(found: DataFrame, capacity: int = CAPACITY, workers: int = WORKERS) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces.
 
-    A worker sorts one class of its share; the second round sees fewer than
-    ``k`` pieces of class ``k`` from each worker, whatever the input's size.
-    ``sequence_id`` is made of the class, the worker (``workers``: the second
-    round) and the sequence's number there.
+    A worker sorts one class of its share. The second round sees fewer than
+    ``k`` pieces of class ``k`` from each worker; what it leaves over, fewer than
+    ``k`` pieces of each class ``k`` whatever the input's size, is packed by first
+    fit, longest first. ``sequence_id`` is made of the class (0: first fit), the
+    worker (``workers``: later rounds) and the sequence's number there.
     """
     columns = found.columns
-    order = [F.col(c) for c in ("doc_id", "start", "ids_crc32")]
-    numbered = (
-        found.withColumn("_class", F.expr(f"{capacity} div length"))
-        .withColumn("_worker", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(workers)))
-        .withColumn("_n", F.row_number().over(Window.partitionBy("_class", "_worker").orderBy(*order)) - 1)
-        .withColumn("_count", F.count("*").over(Window.partitionBy("_class", "_worker")))
+    first = _number(
+        found.withColumn("_class", F.expr(f"{capacity} div length")).withColumn(
+            "_worker", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(workers))
+        ),
+        ["_class", "_worker"],
+    )
+    second = _number(first.where("not _full").withColumn("_worker", F.lit(workers).cast("bigint")), ["_class"])
+    sequence = F.expr(f"((_n div _class) * {workers + 1} + _worker) * {capacity + 1} + _class").cast("bigint")
+    filled = first.where("_full").unionByName(second.where("_full")).select(*columns, "_n", sequence.alias("sequence_id"))
+
+    def fit(rows: pa.Table) -> pa.Table:
+        lengths = rows.column("length").to_pylist()
+        room: list[int] = []
+        at = [0] * len(lengths)
+        for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+            at[i] = next((s for s, free in enumerate(room) if free >= lengths[i]), len(room))
+            if at[i] == len(room):
+                room.append(capacity)
+            room[at[i]] -= lengths[i]
+        ids = [(s * (workers + 1) + workers) * (capacity + 1) for s in at]
+        return pa.table([*(rows.column(c) for c in columns), pa.array(range(len(ids)), pa.int64()), pa.array(ids, pa.int64())], [*columns, "_n", "sequence_id"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema)
+    fitted = (
+        second.where("not _full")
+        .select(*columns, F.lit(0).alias("_rest"))
+        .groupBy("_rest")
+        .applyInArrow(lambda rows: fit(rows.sort_by([(c, "ascending") for c in ("doc_id", "start", "ids_crc32")])), f"{schema}, _n bigint, sequence_id bigint")
     )
-    full = F.expr("_n < _count - _count % _class")
-    # The full sequences' pieces keep their numbers; the pieces left over get new ones together.
-    again = F.row_number().over(Window.partitionBy("_class", "_left").orderBy(*order)) - 1
-    settled = numbered.withColumn("_left", F.when(full, F.col("_worker")).otherwise(F.lit(workers)))
-    both = settled.withColumn("_n", again)
-    sequence = F.expr(f"((_n div _class) * {workers + 1} + _left) * {capacity + 1} + _class")
     place = Window.partitionBy("sequence_id").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        both.withColumn("sequence_id", sequence.cast("bigint"))
+        filled.withColumn("_n", F.col("_n").cast("bigint"))
+        .unionByName(fitted)
         .withColumn("offset", F.coalesce(F.sum("length").over(place), F.lit(0)).cast("bigint"))
         .select(*columns, "sequence_id", "offset")
     )
@@ -170,4 +201,4 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     null ``doc_id`` stays null; repeated rows are packed once each; further
     columns are ignored; an empty table gives an empty result.
     """
-    return harmonic(pieces(docs, path, capacity), capacity)
+    return harmonic(written(pieces(docs, path, capacity), "pieces"), capacity)
