@@ -11,11 +11,16 @@ from tickloom.llm.byte_bpe import encode_decode
 from tickloom.llm.packing import pack
 from tickloom.llm.sharding import interleave
 from tickloom.llm.tables import table
+from tickloom.llm.topk import top_k
 from tickloom.session import prepare_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"))
+
+
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_decode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -30,12 +35,25 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_top_k": op1_top_k,
     "op3_byte_bpe": op3_byte_bpe,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_top_k": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 5""",
+}
 
 
 def catalogue() -> dict[str, Query]:
