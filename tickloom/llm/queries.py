@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm.byte_bpe import encode_decode
+from tickloom.llm.fingerprints import compare_with_edits
 from tickloom.llm.packing import pack
 from tickloom.llm.sharding import interleave
 from tickloom.llm.tables import table
@@ -26,6 +27,10 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return compare_with_edits(table(spark, folder, "documents"))
+
+
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return interleave(table(spark, folder, "documents"))
 
@@ -37,6 +42,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op3_byte_bpe": op3_byte_bpe,
+    "op7_fingerprints": op7_fingerprints,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
 }

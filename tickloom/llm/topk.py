@@ -30,9 +30,9 @@ from tickloom.llm.arrow import column
 
 K = 5
 VECTOR_BLOCK = 8192
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 512
 # Shares of a list that have been read after each round.
-DEPTHS = (0.1, 0.25, 0.5, 0.75)
+DEPTHS = (0.25, 0.5, 0.75)
 # A query stops reading when it has this many candidates for each result wanted.
 FEW = 8
 LONG = (-(2**63), 2**63 - 1)
