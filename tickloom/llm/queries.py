@@ -13,6 +13,7 @@ from tickloom.llm.packing import pack
 from tickloom.llm.sharding import interleave
 from tickloom.llm.tables import table
 from tickloom.llm.topk import top_k
+from tickloom.llm.warc import round_trip
 from tickloom.session import prepare_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,10 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(spark, table(spark, folder, "pages"))
+
+
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return compare_with_edits(table(spark, folder, "documents"))
 
@@ -42,6 +47,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_warc": op5_warc,
     "op7_fingerprints": op7_fingerprints,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
