@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm.byte_bpe import encode_decode
 from tickloom.llm.fingerprints import compare_with_edits
+from tickloom.llm.jaccard_join import join_components
 from tickloom.llm.packing import pack
 from tickloom.llm.sharding import interleave
 from tickloom.llm.tables import table
@@ -28,6 +29,10 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return join_components(table(spark, folder, "documents"), words=3, threshold=90)
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(spark, table(spark, folder, "pages"))
 
@@ -47,6 +52,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_warc": op5_warc,
     "op7_fingerprints": op7_fingerprints,
     "op9_sharding": op9_sharding,
