@@ -197,7 +197,7 @@ def _by_key(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
-        keys = np.stack([column(batch, name).to_numpy() for name in names], 1)
+        keys = np.stack([column(batch, name).to_numpy(zero_copy_only=False).astype(np.int64) for name in names], 1)
         breaks = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
         for first, end in zip(breaks[:-1], breaks[1:], strict=True):
             if end > first:
