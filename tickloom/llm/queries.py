@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.llm.byte_bpe import encode_decode
 from tickloom.llm.fingerprints import compare_with_edits
 from tickloom.llm.jaccard_join import join_components
 from tickloom.llm.packing import pack
 from tickloom.llm.sharding import interleave
+from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.tables import table
 from tickloom.llm.topk import top_k
 from tickloom.llm.warc import round_trip
@@ -24,6 +26,17 @@ def op1_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"))
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "carry.doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_decode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -51,6 +64,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_warc": op5_warc,
