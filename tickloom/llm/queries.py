@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tickloom.llm.byte_bpe import encode_decode
 from tickloom.llm.fingerprints import compare_with_edits
 from tickloom.llm.jaccard_join import join_components
+from tickloom.llm.language_id import document_evidence, fit, identify, page_evidence
 from tickloom.llm.packing import pack
+from tickloom.llm.preferences import preference_pairs, swapped_last_answers
 from tickloom.llm.sharding import interleave
 from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.tables import table
@@ -50,6 +52,20 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(spark, table(spark, folder, "pages"))
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages, with all kinds of evidence, and documents, whose source stands for the host."""
+    docs, pages = table(spark, folder, "documents"), table(spark, folder, "pages")
+    model = fit(docs.select("text", F.col("lang").alias("label")))
+    rows = document_evidence(docs).unionByName(page_evidence(pages), allowMissingColumns=True)
+    return identify(rows, model).select(
+        "doc_id", "page_id", "host", "declared", "suffix", "language", F.round("posterior", 6).alias("posterior"), "accepted"
+    )
+
+
+def op8_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    return preference_pairs(*swapped_last_answers(table(spark, folder, "conversations")))
+
+
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return compare_with_edits(table(spark, folder, "documents"))
 
@@ -68,12 +84,49 @@ QUERIES: dict[str, Query] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_warc": op5_warc,
+    "op6_language_id": op6_language_id,
+    "op8_preferences": op8_preferences,
     "op7_fingerprints": op7_fingerprints,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_preferences": """
+        WITH t AS (
+          SELECT conv_id AS p, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations),
+        l AS (
+          SELECT p, max(turn) AS last_turn FROM t WHERE role = 'assistant' AND p IS NOT NULL GROUP BY p),
+        a AS (
+          SELECT xor(t.p, 1) AS p, max(t.text) AS answer
+          FROM t JOIN l ON t.p = l.p AND t.turn = l.last_turn WHERE t.role = 'assistant' GROUP BY t.p),
+        r AS (
+          SELECT t.p, turn, role, CASE WHEN turn = last_turn THEN answer ELSE text END AS text
+          FROM t JOIN l ON t.p = l.p JOIN a ON t.p = a.p WHERE turn <= last_turn),
+        numbered AS (
+          SELECT p, role, text, true AS chosen,
+                 row_number() OVER (PARTITION BY p ORDER BY turn NULLS FIRST, role, text) AS n FROM t
+          UNION ALL
+          SELECT p, role, text, false, row_number() OVER (PARTITION BY p ORDER BY turn NULLS FIRST, role, text) FROM r),
+        sides AS (
+          SELECT p, n, count(*) AS held, min(role) AS r1, max(role) AS r2, min(text) AS t1, max(text) AS t2
+          FROM numbered GROUP BY p, n),
+        parted AS (
+          SELECT p, coalesce(min(CASE WHEN held < 2 OR r1 <> r2 OR t1 <> t2 THEN n END), max(n) + 1) AS cut
+          FROM sides GROUP BY p),
+        pieces AS (
+          SELECT x.p, x.n, x.chosen, x.n < cut AS shared, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS piece,
+                 CASE WHEN role = 'assistant' THEN '0x' || (length(role) + 5) || ',1x' || (length(text) + 8)
+                      ELSE '0x' || (length(role) + 5 + length(text) + 8) END AS mask
+          FROM numbered x JOIN parted y ON x.p IS NOT DISTINCT FROM y.p)
+        SELECT p AS pair_id, count(*) FILTER (chosen AND shared) AS prefix_turns,
+               count(*) FILTER (chosen AND NOT shared) AS chosen_turns, count(*) FILTER (NOT chosen AND NOT shared) AS rejected_turns,
+               coalesce(string_agg(piece, '' ORDER BY n) FILTER (chosen AND shared), '') AS prompt,
+               coalesce(string_agg(piece, '' ORDER BY n) FILTER (chosen AND NOT shared), '') AS chosen,
+               coalesce(string_agg(piece, '' ORDER BY n) FILTER (NOT chosen AND NOT shared), '') AS rejected,
+               coalesce(string_agg(mask, ',' ORDER BY n) FILTER (chosen AND NOT shared), '') AS chosen_mask,
+               coalesce(string_agg(mask, ',' ORDER BY n) FILTER (NOT chosen AND NOT shared), '') AS rejected_mask
+        FROM pieces GROUP BY p""",
     "op1_top_k": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings

@@ -392,7 +392,20 @@ def _compare(sent: DataFrame, match: int, n: int, buckets: int) -> DataFrame:
 # --- step 4 -------------------------------------------------------------------------------
 
 
-def _remove(dealt: DataFrame, match: int, carry: str) -> DataFrame:
+def _whole(text: bytes, edges: np.ndarray) -> np.ndarray:
+    """The spans without characters that they cut."""
+    out = []
+    for a, b in edges.tolist():
+        while a < b and text[a] & 0xC0 == 0x80:
+            a += 1
+        while a < b < len(text) and text[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            out.append((a, b))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def _remove(dealt: DataFrame, match: int, carry: str, whole_characters: bool) -> DataFrame:
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,6 +432,8 @@ def _remove(dealt: DataFrame, match: int, carry: str) -> DataFrame:
             covered = np.zeros(len(text) + 2, np.int8)
             covered[1:-1] = np.cumsum(change[:-1]) > 0
             edges = np.flatnonzero(np.diff(covered)).reshape(-1, 2)
+            if whole_characters:
+                edges = _whole(text, edges)
             kept, last = [], 0
             for a, b in edges.tolist():
                 kept.append(text[last:a])
@@ -433,10 +448,11 @@ def _remove(dealt: DataFrame, match: int, carry: str) -> DataFrame:
     return dealt.mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM, whole_characters: bool = False) -> DataFrame:
     """Per row ``carry`` (the row as it was, but for its text), ``kept`` bytes, ``n_bytes``, ``n_removed`` and the removed ``spans``.
 
     Texts are bytes; repeats are judged on the input, and never cross documents.
+    With ``whole_characters`` a character that a span would cut stays.
 
     Defined cases: a null text is empty and keeps nothing; a null ``doc_id`` comes
     before all others; rows of one ``doc_id`` are one document: a string at
@@ -454,4 +470,4 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM) -> Dat
     asked = _dealt(rows.withColumn("carry", F.lit(None).cast("string")), first.where(f"what <> {COVER}"), n, buckets)
     second = written(_compare(_send(asked, match, 2 * n), match, n, buckets), "repeats")
     covered = first.where(f"what = {COVER}").unionByName(second)
-    return _remove(_dealt(rows, covered, n, buckets), match, rows.schema["carry"].dataType.simpleString())
+    return _remove(_dealt(rows, covered, n, buckets), match, rows.schema["carry"].dataType.simpleString(), whole_characters)
