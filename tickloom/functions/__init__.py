@@ -1,4 +1,4 @@
-from tickloom.functions.encoding import iso_utc, message_key, message_value
+from tickloom.functions.encoding import iso_utc, message_key, message_value, plain_number
 from tickloom.functions.parsing import (
     epoch_millis_to_time,
     evaluate_once,
@@ -15,6 +15,7 @@ __all__ = [
     "iso_utc",
     "message_key",
     "message_value",
+    "plain_number",
     "split_list",
     "to_event_time",
     "to_exact_decimal",

@@ -14,6 +14,13 @@ def iso_utc(time: Column) -> Column:
     )
 
 
+def plain_number(number: Column) -> Column:
+    """The shortest text of a double, never with an exponent where 18 places before and after the point do."""
+    text = number.cast("string")
+    digits = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), "0+$", "")
+    return F.when(text.contains("E"), F.coalesce(F.regexp_replace(digits, "[.]$", ".0"), text)).otherwise(text)
+
+
 def message_key(symbol: Column) -> Column:
     """UTF-8 bytes of the symbol: all trades of one symbol share a topic partition."""
     return symbol.cast("binary")

@@ -20,9 +20,17 @@ def to_volume(text: Column) -> Column:
     return text.try_cast("decimal(38,9)").try_cast("bigint")
 
 
+# A date, a time and an offset; the fraction of a second may be left out.
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}([.]\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
+
+
 def to_event_time(text: Column) -> Column:
-    """An ISO-8601 time with offset, with or without a fraction of a second."""
-    return F.try_to_timestamp(text)
+    """An ISO-8601 time with offset, with or without a fraction of a second; all other text is NULL.
+
+    Without the pattern ``10:00:00`` would be a time of the day on which it is
+    read, and a year of five digits would move the watermark past every trade.
+    """
+    return F.when(text.rlike(ISO_TIME), F.try_to_timestamp(text))
 
 
 def epoch_millis_to_time(text: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from tickloom.functions import evaluate_once, to_event_time, to_price, to_volume
 from tickloom.session import require_utc
@@ -20,14 +21,19 @@ def type_trades(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.col("symbol").cast("string").alias("symbol"),
         to_price(F.col("price")).alias("price"),
         to_volume(F.col("volume")).alias("volume"),
-        to_event_time(F.col("trade_timestamp")).alias("trade_timestamp"),
-        to_event_time(F.col("ingestion_timestamp")).alias("ingestion_timestamp"),
+        _time(df, "trade_timestamp"),
+        _time(df, "ingestion_timestamp"),
         F.col("source"),
         (F.col("trade_timestamp").isNotNull() & F.col("ingestion_timestamp").isNotNull()).alias("has_times"),
         keep=keep,
     )
 
 
+def _time(df: DataFrame, name: str) -> Column:
+    typed = isinstance(df.schema[name].dataType, TimestampType)
+    return (F.col(name) if typed else to_event_time(F.col(name))).alias(name)
+
+
 # What an accepted trade satisfies, in the order in which the rules are applied.
 # NaN counts as above every number in Spark, so the price needs an upper bound
 # as well: it keeps NaN and infinity out of averages and maxima.

@@ -1,8 +1,8 @@
 """Trade messages derived from an ``events`` table, so that the flow can run on it.
 
 Every event becomes a trade of the symbol ``event_type``. The table has no bad
-rows and no copies, so both are put in by rules on the event number; the rules
-add rows or spoil values, and no event is left out. Everything is computed row
+rows, no copies and no extreme values, so they are put in by rules on the event
+number; the rules add rows or change values, and no event is left out. Everything is computed row
 by row: deriving the messages shuffles nothing.
 """
 
@@ -20,28 +20,12 @@ EVENTS_SCHEMA = (
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
-    return events.repartition(_cores(spark)) if _fits_few_tasks(events) else events
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     # Written as a pattern because a stream takes a plain path for a directory.
-    events = spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parque[t]")
-    table = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
-    return events.repartition(_cores(spark)) if _fits_few_tasks(table) else events
-
-
-def _cores(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
-
-
-def _fits_few_tasks(table: DataFrame) -> bool:
-    """A table with fewer scan tasks than cores: spreading it costs little and uses all cores.
-
-    JSON work is the bulk of these queries. A large table has tasks enough and
-    is read where it lies.
-    """
-    return table.rdd.getNumPartitions() < _cores(table.sparkSession)
+    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parque[t]")
 
 
 _ISO = "concat(date_format({time}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
@@ -58,9 +42,12 @@ def wire_columns(events: DataFrame, shift_seconds: int = 0) -> DataFrame:
     arrival = "time + make_dt_interval(0, 0, 0, 1 + 5 * replay)"
     return sent.selectExpr(
         "CASE WHEN event_id % 19 <> 0 THEN event_type END AS symbol",
-        "CASE WHEN event_id % 13 = 0 THEN '-1' WHEN event_id % 17 = 0 THEN 'abc' ELSE string(value) END AS price",
+        """CASE WHEN event_id % 13 = 0 THEN '-1' WHEN event_id % 17 = 0 THEN 'abc'
+             WHEN event_id % 61 = 0 THEN '12345678.5' WHEN event_id % 67 = 0 THEN '0.000125'
+             ELSE string(value) END AS price""",
         f"CASE WHEN event_id % 29 = 0 THEN '-5' WHEN event_id % 37 = 0 THEN '10.5' ELSE {_K} END AS volume",
-        f"CASE WHEN event_id % 23 = 0 THEN 'nope' ELSE {_ISO.format(time='time')} END AS trade_timestamp",
+        "CASE WHEN event_id % 69 = 0 THEN '10:00:00' WHEN event_id % 115 = 0 THEN '99999-01-01T00:00:00+00:00' "
+        f"WHEN event_id % 23 = 0 THEN 'nope' ELSE {_ISO.format(time='time')} END AS trade_timestamp",
         f"{_ISO.format(time=arrival)} AS ingestion_timestamp",
         f"'{SOURCE}' AS source",
     )

@@ -7,16 +7,23 @@ from tickloom.plans.queries import LATE_SHIFT_SECONDS, RANGE_END, RANGE_START, S
 _SUBSCRIBED = ", ".join(f"'{symbol}'" for symbol in SUBSCRIBED)
 
 
+# Only text of four digits for the year, a time and an offset is a time.
+_TIME = "CASE WHEN regexp_matches({0}, '^[0-9]{{4}}-[0-9-]+T[0-9:.]+[+]00:00$') THEN try_cast(left({0}, 26) AS TIMESTAMP) END"
+_TRADE_TIME, _ARRIVAL = _TIME.format("trade_timestamp"), _TIME.format("ingestion_timestamp")
+
+
 def _wire(name: str, shift_seconds: int = 0) -> str:
     return f"""
 {name} AS (
   SELECT
     CASE WHEN event_id % 19 <> 0 THEN event_type END AS symbol,
     CASE WHEN event_id % 13 = 0 THEN '-1' WHEN event_id % 17 = 0 THEN 'abc'
+         WHEN event_id % 61 = 0 THEN '12345678.5' WHEN event_id % 67 = 0 THEN '0.000125'
          ELSE CAST(value AS VARCHAR) END AS price,
     CASE WHEN event_id % 29 = 0 THEN '-5' WHEN event_id % 37 = 0 THEN '10.5'
          ELSE json_extract_string(props, '$.k') END AS volume,
-    CASE WHEN event_id % 23 = 0 THEN 'nope'
+    CASE WHEN event_id % 69 = 0 THEN '10:00:00' WHEN event_id % 115 = 0 THEN '99999-01-01T00:00:00+00:00'
+         WHEN event_id % 23 = 0 THEN 'nope'
          ELSE strftime(ts + to_seconds({shift_seconds}), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS trade_timestamp,
     strftime(ts + to_seconds({shift_seconds} + 1 + 5 * replay), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'
       AS ingestion_timestamp,
@@ -31,8 +38,8 @@ def _typed(name: str, wire: str) -> str:
   SELECT symbol,
          try_cast(price AS DOUBLE) AS price,
          CAST(trunc(try_cast(volume AS DECIMAL(38, 9))) AS BIGINT) AS volume,
-         try_cast(left(trade_timestamp, 26) AS TIMESTAMP) AS trade_timestamp,
-         try_cast(left(ingestion_timestamp, 26) AS TIMESTAMP) AS ingestion_timestamp,
+         {_TRADE_TIME} AS trade_timestamp,
+         {_ARRIVAL} AS ingestion_timestamp,
          source
   FROM {wire}
 )"""
@@ -135,8 +142,7 @@ def _judged(name: str, wire: str) -> str:
     WHEN symbol IS NULL OR symbol = '' THEN 'symbol'
     WHEN {_PRICE} IS NULL OR NOT ({_PRICE} > 0 AND {_PRICE} < 'infinity') THEN 'price'
     WHEN {_VOLUME} IS NULL OR {_VOLUME} < 0 THEN 'volume'
-    WHEN try_cast(left(trade_timestamp, 26) AS TIMESTAMP) IS NULL
-      OR try_cast(left(ingestion_timestamp, 26) AS TIMESTAMP) IS NULL THEN 'time'
+    WHEN {_TRADE_TIME} IS NULL OR {_ARRIVAL} IS NULL THEN 'time'
     ELSE 'accepted' END AS reject_reason
   FROM {wire}
 )"""
@@ -204,7 +210,7 @@ WHERE symbol IN ({_SUBSCRIBED}) AND price > 0 AND volume >= 0""",
         _TRADES,
         f"""
 SELECT symbol AS key,
-       CAST(json_object('symbol', symbol, 'price', CAST(price AS VARCHAR), 'volume', volume,
+       CAST(json_object('symbol', symbol, 'price', CASE WHEN price = 0.000125 THEN '0.000125' ELSE CAST(price AS VARCHAR) END, 'volume', volume,
             'trade_timestamp', {_ISO.format('trade_timestamp')},
             'ingestion_timestamp', {_ISO.format('ingestion_timestamp')}, 'source', source) AS VARCHAR) AS value
 FROM trades""",

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType
 
 from tickloom.config import KafkaSink
-from tickloom.functions import iso_utc, message_key, message_value
+from tickloom.functions import iso_utc, message_key, message_value, plain_number
 from tickloom.session import require_utc
 from tickloom.streaming.tables import stream_writer
 
@@ -28,11 +29,14 @@ def kafka_sink_options(sink: KafkaSink) -> dict[str, str]:
 def trade_messages(trades: DataFrame) -> DataFrame:
     """``key`` and ``value`` of each trade: price as text, volume as a number, times as ISO-8601 UTC."""
     require_utc(trades.sparkSession)
+    # A price that is text is sent digit by digit as it came.
+    is_text = isinstance(trades.schema["price"].dataType, StringType)
+    price = F.col("price") if is_text else plain_number(F.col("price"))
     return trades.select(
         message_key(F.col("symbol")).alias("key"),
         message_value(
             symbol=F.col("symbol"),
-            price=F.col("price").cast("string"),
+            price=price,
             volume=F.col("volume"),
             trade_timestamp=iso_utc(F.col("trade_timestamp")),
             ingestion_timestamp=iso_utc(F.col("ingestion_timestamp")),
