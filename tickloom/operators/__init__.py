@@ -14,6 +14,7 @@ from tickloom.operators.serving import (
     latest_stored,
     latest_trades,
     latest_windows,
+    price_range_series,
     price_series,
     register_views,
     row_count,
@@ -35,6 +36,7 @@ __all__ = [
     "latest_stored",
     "latest_trades",
     "latest_windows",
+    "price_range_series",
     "price_series",
     "reconcile",
     "register_views",

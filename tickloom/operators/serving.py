@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from tickloom.config import (
 )
 from tickloom.operators.aggregate import symbol_summary
 from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
+from tickloom.sources.tables import time_range
 
 
 def latest(df: DataFrame, count: int, by: str, ties: tuple[str, ...] = ("symbol",)) -> DataFrame:
@@ -32,17 +35,21 @@ def latest_windows(windows: DataFrame, count: int = 50) -> DataFrame:
 
 
 def latest_stored(table: DataFrame, count: int, by: str, date_column: str = "trade_date") -> DataFrame:
-    """``latest`` on a table partitioned by the date of ``by``, without reading its older partitions.
+    """``latest`` on a table partitioned by the date of ``by``, without opening its older partitions.
 
-    The newest ``count`` dates hold at least ``count`` rows, so counting rows per
-    date, which touches no data column, tells how far back the answer can lie.
+    The newest date is the maximum of a partition column; each step then counts
+    the rows from one date on and takes the span back to twice as many days,
+    until ``count`` rows lie in it or the oldest date is reached. A span opens the
+    files of its own dates only.
     """
-    per_date = table.where(F.col(date_column).isNotNull()).groupBy(date_column).agg(F.count("*").alias("rows"))
-    found = 0
-    for date, rows in per_date.orderBy(F.col(date_column).desc()).limit(count).collect():
-        found += rows
-        if found >= count:
-            return latest(table.where(F.col(date_column) >= F.lit(date)), count, by)
+    dates = table.select(date_column).where(F.col(date_column).isNotNull()).distinct()
+    ends = dates.agg(F.min(date_column).alias("first"), F.max(date_column).alias("last")).first()
+    days = 1
+    while ends["last"] is not None and (since := ends["last"] - timedelta(days=days - 1)) > ends["first"]:
+        recent = table.where(F.col(date_column) >= F.lit(since))
+        if recent.limit(count).count() >= count:
+            return latest(recent, count, by)
+        days *= 2
     return latest(table, count, by)
 
 
@@ -51,10 +58,32 @@ def row_count(df: DataFrame, name: str) -> DataFrame:
 
 
 def price_series(trades: DataFrame) -> DataFrame:
-    """Price over event time. The sort key is unique, so range partitions come out even."""
+    """Price over event time, trade by trade. The sort key is unique, so range partitions come out even."""
     return trades.select("trade_timestamp", "symbol", "price").orderBy("trade_timestamp", "symbol")
 
 
+def price_range_series(
+    trades: DataFrame, start: str | datetime, end: str | datetime, symbols: list[str], width: str
+) -> DataFrame:
+    """First, lowest, highest and last price per symbol and bucket of time, for a chart of a span.
+
+    Its size follows from the span and the width, not from the number of trades.
+    """
+    bucket = F.window("trade_timestamp", width).getField("start").alias("bucket_start")
+    order = F.struct("trade_timestamp", "price")
+    return (
+        time_range(trades, start, end)
+        .where(F.col("symbol").isin(list(symbols)))
+        .groupBy("symbol", bucket)
+        .agg(
+            F.min_by("price", order).alias("first_price"),
+            F.min("price").alias("min_price"),
+            F.max("price").alias("max_price"),
+            F.max_by("price", order).alias("last_price"),
+        )
+    )
+
+
 def avg_price_series(windows: DataFrame) -> DataFrame:
     return windows.select("window_start", "symbol", "avg_price").orderBy("window_start", "symbol")
 

@@ -174,6 +174,17 @@ FROM windows GROUP BY symbol""",
     "chart_price_series": _sql(
         _TRADES, "SELECT trade_timestamp, symbol, price FROM trades ORDER BY trade_timestamp, symbol"
     ),
+    "chart_price_range": _sql(
+        _TRADES,
+        f"""
+SELECT symbol, time_bucket(INTERVAL 1 HOUR, trade_timestamp) AS bucket_start,
+       arg_min(price, trade_timestamp) AS first_price, min(price) AS min_price, max(price) AS max_price,
+       arg_max(price, trade_timestamp) AS last_price
+FROM trades
+WHERE trade_timestamp >= TIMESTAMP '{RANGE_START}' AND trade_timestamp < TIMESTAMP '{RANGE_END}'
+  AND symbol IN ({_SUBSCRIBED})
+GROUP BY 1, 2""",
+    ),
     "chart_avg_price": _sql(
         _WINDOWS,
         "SELECT window_start, symbol, round(avg_price, 6) AS avg_price FROM windows ORDER BY window_start, symbol",
@@ -269,6 +280,13 @@ both_waves AS (
     "stream_late_report": _sql(
         _LATE, "SELECT count(*) AS late_rows_dropped FROM late, mark WHERE trade_timestamp <= watermark"
     ),
+    "stream_progress": _sql(
+        _LATE,
+        """
+SELECT 'raw_stream_data_writer' AS query_name,
+       (SELECT count(*) FROM wire) + (SELECT count(*) FROM late_wire) AS input_rows,
+       (SELECT count(*) FROM late, mark WHERE trade_timestamp <= watermark) AS late_rows_dropped""",
+    ),
     "stream_reconcile": _sql(
         [*_TRADES, _WATERMARK],
         """

@@ -22,6 +22,7 @@ from tickloom.operators import (
     latest_stored,
     latest_trades,
     latest_windows,
+    price_range_series,
     price_series,
     reconcile,
     register_views,
@@ -52,8 +53,11 @@ from tickloom.sources import (
     time_range,
 )
 from tickloom.streaming import (
+    ProgressLog,
     append_batch,
     late_rows_dropped,
+    progress_report,
+    query_totals,
     start_batch_stream,
     trade_messages,
     write_table,
@@ -184,6 +188,10 @@ def chart_price_series(spark, folder):
     return price_series(trades(spark, folder))
 
 
+def chart_price_range(spark, folder):
+    return price_range_series(trades(spark, folder), RANGE_START, RANGE_END, SUBSCRIBED, "1 hour")
+
+
 def chart_avg_price(spark, folder):
     return avg_price_series(windows(spark, folder))
 
@@ -263,9 +271,15 @@ def aggregated_table_range(spark, folder):
 
 
 def idempotent_append(spark, folder):
+    """A batch applied twice, a batch of the same number by another query, and one without rows."""
     target = scratch_dir(spark, "append")
-    for batch_id in (0, 0):
-        append_batch(trades(spark, folder), batch_id, target, RAW_LAYOUT)
+    rows = trades(spark, folder).persist()
+    try:
+        ours, theirs = rows.where("volume % 2 = 0"), rows.where("volume % 2 <> 0")
+        for query_id, batch_id, batch in (("a", 0, ours), ("a", 0, ours), ("b", 0, theirs), ("b", 1, rows.limit(0))):
+            append_batch(batch, batch_id, target, RAW_LAYOUT, query_id)
+    finally:
+        rows.unpersist()
     return read_table(spark, target, RAW_LAYOUT)
 
 
@@ -338,14 +352,22 @@ def _send(messages: DataFrame, path: str) -> None:
     messages.select(F.col("value").cast("string")).write.mode("append").text(path)
 
 
-def _run_late_wave(spark: SparkSession, folder: str) -> tuple[str, StreamingQuery]:
-    """The whole feed, then all of it again with shifted times, most of them behind the watermark."""
+def _run_late_wave(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """The whole feed, then all of it again with shifted times, most of them behind the watermark.
+
+    Returns where the rows are, and the progress log of both runs.
+    """
     root = scratch_dir(spark, "stream-late")
     events = read_events(spark, folder)
-    for shift in (0, LATE_SHIFT_SECONDS):
-        _send(wire_messages(events, shift), f"{root}/feed")
-        query = _finish(start_raw(read_wire_files(spark, f"{root}/feed"), f"{root}/raw", _flow(root)))
-    return f"{root}/raw", query
+    log = ProgressLog(spark, f"{root}/progress")
+    spark.streams.addListener(log)
+    try:
+        for shift in (0, LATE_SHIFT_SECONDS):
+            _send(wire_messages(events, shift), f"{root}/feed")
+            log.wait_for(_finish(start_raw(read_wire_files(spark, f"{root}/feed"), f"{root}/raw", _flow(root))))
+    finally:
+        spark.streams.removeListener(log)
+    return f"{root}/raw", progress_report(spark, f"{root}/progress")
 
 
 def stream_late_data(spark, folder):
@@ -354,8 +376,14 @@ def stream_late_data(spark, folder):
 
 
 def stream_late_report(spark, folder):
-    _, query = _run_late_wave(spark, folder)
-    return spark.range(1).select(F.lit(late_rows_dropped(query)).cast("bigint").alias("late_rows_dropped"))
+    _, progress = _run_late_wave(spark, folder)
+    return late_rows_dropped(progress)
+
+
+def stream_progress(spark, folder):
+    """What the late-data run reports per query: input and late rows of all batches."""
+    _, progress = _run_late_wave(spark, folder)
+    return query_totals(progress).drop("state_rows")
 
 
 def stream_reconcile(spark, folder):
@@ -385,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "raw_count": raw_count,
     "aggregated_count": aggregated_count,
     "chart_price_series": chart_price_series,
+    "chart_price_range": chart_price_range,
     "chart_avg_price": chart_avg_price,
     "chart_volume_by_symbol": chart_volume_by_symbol,
     "chart_total_trades": chart_total_trades,
@@ -410,6 +439,7 @@ QUERIES: dict[str, Query] = {
     "stream_restart": stream_restart,
     "stream_late_data": stream_late_data,
     "stream_late_report": stream_late_report,
+    "stream_progress": stream_progress,
     "stream_reconcile": stream_reconcile,
     **{name: sql_query(statement) for name, statement in SQL.items()},
 }

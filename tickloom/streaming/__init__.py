@@ -1,5 +1,5 @@
 from tickloom.streaming.jdbc import append_jdbc_batch, start_jdbc_stream
-from tickloom.streaming.progress import late_rows_dropped, progress_report
+from tickloom.streaming.progress import ProgressLog, late_rows_dropped, progress_report, query_totals
 from tickloom.streaming.tables import (
     append_batch,
     arrange,
@@ -20,6 +20,7 @@ from tickloom.streaming.topic import (
 )
 
 __all__ = [
+    "ProgressLog",
     "append_batch",
     "append_jdbc_batch",
     "arrange",
@@ -30,6 +31,7 @@ __all__ = [
     "late_rows_dropped",
     "progress_report",
     "publish",
+    "query_totals",
     "reject_messages",
     "start_batch_stream",
     "start_jdbc_stream",

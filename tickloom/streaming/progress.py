@@ -1,45 +1,103 @@
-"""What running queries report about themselves."""
+"""What running queries report about themselves, kept in a table."""
 
 from __future__ import annotations
 
 import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS_SCHEMA = (
-    "query_name string, batch_id bigint, operator string, input_rows bigint, "
-    "late_rows_dropped bigint, state_rows bigint, duration_ms bigint"
+    "query_id string, run_id string, query_name string, batch_id bigint, operator_index int, operator string, "
+    "input_rows bigint, late_rows_dropped bigint, state_rows bigint, duration_ms bigint"
 )
+# What names one report of one stateful operator.
+PROGRESS_KEYS = ["query_id", "run_id", "batch_id", "operator_index"]
 
 
-def progress_rows(query: StreamingQuery) -> list[tuple]:
-    """One tuple per micro-batch and stateful operator, for the batches Spark still remembers."""
-    rows = []
-    for progress in query.recentProgress:
-        report = json.loads(progress.json)
-        duration = report.get("durationMs", {}).get("triggerExecution")
-        for operator in report.get("stateOperators", []) or [{}]:
-            rows.append(
-                (
-                    report.get("name"),
-                    report["batchId"],
-                    operator.get("operatorName"),
-                    report.get("numInputRows", 0),
-                    operator.get("numRowsDroppedByWatermark", 0),
-                    operator.get("numRowsTotal", 0),
-                    duration,
-                )
-            )
-    return rows
-
-
-def progress_report(spark: SparkSession, *queries: StreamingQuery) -> DataFrame:
-    """Input, late and state rows per micro-batch and stateful operator."""
-    rows = [row for query in queries for row in progress_rows(query)]
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
-
-
-def late_rows_dropped(query: StreamingQuery) -> int:
-    """Rows that came after the watermark, over the batches Spark still remembers."""
-    return sum(row[4] for row in progress_rows(query))
+def progress_rows(report: dict) -> list[tuple]:
+    """One tuple per stateful operator of a micro-batch; one without operator for a stateless query."""
+    return [
+        (
+            report["id"],
+            report["runId"],
+            report.get("name"),
+            report["batchId"],
+            index,
+            operator.get("operatorName"),
+            report.get("numInputRows", 0),
+            operator.get("numRowsDroppedByWatermark", 0),
+            operator.get("numRowsTotal", 0),
+            report.get("durationMs", {}).get("triggerExecution"),
+        )
+        for index, operator in enumerate(report.get("stateOperators", []) or [{}])
+    ]
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends the progress of every micro-batch of the session's queries to a table.
+
+    A query itself remembers its last hundred reports only. Reports are written
+    ``every`` so many rows and when a query ends, so a driver that is lost loses
+    fewer than ``every`` rows of the log, none of the data.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self.spark, self.path, self.every = spark, path, every
+        self.held: list[tuple] = []
+        self.ended: set[str] = set()
+        self.change = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.held += progress_rows(json.loads(event.progress.json))
+        if len(self.held) >= self.every:
+            self._write()
+
+    def onQueryTerminated(self, event) -> None:
+        self._write()
+        with self.change:
+            self.ended.add(str(event.runId))
+            self.change.notify_all()
+
+    def _write(self) -> None:
+        rows, self.held = self.held, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def wait_for(self, query: StreamingQuery, timeout: float = 60) -> None:
+        """Until the reports of an ended query are in the table; they arrive after its end."""
+        with self.change:
+            if not self.change.wait_for(lambda: str(query.runId) in self.ended, timeout):
+                raise TimeoutError(f"no report of the end of query {query.name}")
+
+
+def progress_report(spark: SparkSession, path: str) -> DataFrame:
+    """The logged reports, each once."""
+    return spark.read.schema(PROGRESS_SCHEMA).parquet(path).dropDuplicates(PROGRESS_KEYS)
+
+
+def late_rows_dropped(progress: DataFrame) -> DataFrame:
+    """Rows that came after the watermark, over all logged batches."""
+    return progress.agg(F.coalesce(F.sum("late_rows_dropped"), F.lit(0)).alias("late_rows_dropped"))
+
+
+def query_totals(progress: DataFrame) -> DataFrame:
+    """Per query: its batches, input and late rows, and the rows of state it holds after the last one."""
+    batches = progress.groupBy("query_name", "run_id", "batch_id").agg(
+        F.max("input_rows").alias("input_rows"),
+        F.sum("late_rows_dropped").alias("late_rows_dropped"),
+        F.sum("state_rows").alias("state_rows"),
+    )
+    return batches.groupBy("query_name").agg(
+        F.sum("input_rows").alias("input_rows"),
+        F.sum("late_rows_dropped").alias("late_rows_dropped"),
+        F.max_by("state_rows", F.struct("batch_id", "run_id")).alias("state_rows"),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -79,18 +80,26 @@ def append_batch(
     batch_id: int,
     target: str,
     layout: Layout,
+    query_id: str,
     writers_per_partition: int = WRITERS_PER_PARTITION,
 ) -> None:
     """Append one micro-batch so that applying it again changes nothing.
 
-    Under a path every batch owns the folder ``batch_id=<n>`` and replaces it.
-    In a catalog table the rows are added whose key is not there yet; keys are
+    ``query_id`` names who appends: batch numbers start anew with every
+    checkpoint, so they are unique only together with it. Under a path every
+    batch of a query owns the folder ``query_id=<id>/batch_id=<n>`` and replaces
+    it; a batch without rows leaves no folder. In a catalog table the rows are added whose key is not there yet; keys are
     unique after deduplication and never NULL in strict cleaning. Catalogs other
     than the session's own shuffle and sort by the table's write properties.
     """
     if is_path(target):
-        folder = f"{target.rstrip('/')}/batch_id={batch_id}"
-        write_table(batch, folder, layout, "overwrite", writers_per_partition)
+        folder = f"{target.rstrip('/')}/query_id={query_id}/batch_id={batch_id}"
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not batch.isEmpty():
+                write_table(batch, folder, layout, "overwrite", writers_per_partition)
+        finally:
+            batch.unpersist()
         return
     spark = batch.sparkSession
     table = spark.table(target)
@@ -139,6 +148,12 @@ def append_unseen(
         batch.unpersist()
 
 
+def checkpoint_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave to a query when it made the checkpoint; it survives restarts."""
+    metadata = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(metadata)["id"]
+
+
 def stream_writer(df: DataFrame, checkpoint: str, query_name: str, trigger: dict | None = None) -> DataStreamWriter:
     """Append mode, own checkpoint, own name: what every sink of the flow shares."""
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).queryName(query_name)
@@ -178,6 +193,7 @@ def start_batch_stream(
     """Append a stream by idempotent micro-batches, to a path or a catalog table."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, batch_id, target, layout, writers_per_partition)
+        query_id = checkpoint_identity(batch.sparkSession, checkpoint)
+        append_batch(batch, batch_id, target, layout, query_id, writers_per_partition)
 
     return stream_writer(df, checkpoint, query_name, trigger).foreachBatch(append).start()
