@@ -352,7 +352,8 @@ def join_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
         "doc_id", "cluster", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")
     )
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    links = _verified(pairs.join(texts, "doc_id").select("cluster", "p", "q", "block", "doc_id", "text"), words, threshold, n)
+    # Shuffled at every size: the list of clustered documents grows with the input.
+    links = _verified(pairs.join(texts.hint("merge"), "doc_id").select("cluster", "p", "q", "block", "doc_id", "text"), words, threshold, n)
     linked = components(links).select(F.col("node").alias("first"), "component")
 
     labels = named.join(classes, "set_id").select("set_id", "first").distinct().join(linked, "first", "left")
