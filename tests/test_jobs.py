@@ -26,9 +26,9 @@ def test_bootstrap_and_stream(spark, small, tmp_path):
         "stream", "--checkpoints", f"{tmp_path}/cp", "--files", f"{tmp_path}/feed", "--once",
         "--raw", raw, "--aggregated", aggregated, "--rejected", f"{namespace}.rejected",
     ])
-    assert read_table(spark, raw, RAW_LAYOUT).count() == 760
-    assert read_table(spark, aggregated, AGGREGATED_LAYOUT).count() == 759
-    assert spark.table(f"{namespace}.rejected").count() == 262
+    assert read_table(spark, raw, RAW_LAYOUT).count() == 745
+    assert read_table(spark, aggregated, AGGREGATED_LAYOUT).count() == 744
+    assert spark.table(f"{namespace}.rejected").count() == 278
 
 
 def test_a_source_is_needed(spark, tmp_path):

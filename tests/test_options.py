@@ -66,7 +66,7 @@ def test_serving_tables(table, layout):
         con.execute(serving_ddl(table, layout))
     columns = con.execute(f"DESCRIBE {table}").fetchall()
     assert [column[0] for column in columns] == layout.columns
-    assert {column[0] for column in columns if column[2] == "YES"} == {"source"} & set(layout.columns)
+    assert {column[0] for column in columns if column[2] == "YES"} == {"source", "total_volume"} & set(layout.columns)
 
 
 def test_empty_jdbc_batch_opens_no_connection(spark):
@@ -94,15 +94,14 @@ class FakeSession:
         self.sparkContext = self.conf = self
         self.folder = folder
 
-    def get(self, key, default):
-        return default
+    def get(self, key, default=None):
+        return "hdfs://lake/warehouse" if key == "spark.sql.warehouse.dir" else default
 
     def getCheckpointDir(self):
         return self.folder
 
 
 def test_scratch_without_a_shared_folder():
-    assert scratch_dir(FakeSession("local[2]"), "x").startswith("/")
     assert scratch_dir(FakeSession("spark://host:7077", "hdfs://shared/"), "x").startswith("hdfs://shared/x-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(FakeSession("spark://host:7077"), "x")
+    for master in ("local[2]", "spark://host:7077"):
+        assert scratch_dir(FakeSession(master), "x").startswith("hdfs://lake/warehouse/_scratch/x-")

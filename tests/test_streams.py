@@ -13,7 +13,14 @@ from tickloom.plans.event_feed import read_events, wire_messages
 from tickloom.plans.queries import wire, wire_stream
 from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
 from tickloom.sources import decode_wire, read_table, read_wire_files
-from tickloom.streaming import late_rows_dropped, progress_report, start_batch_stream, start_table_stream
+from tickloom.streaming import (
+    ProgressLog,
+    late_rows_dropped,
+    progress_report,
+    query_totals,
+    start_batch_stream,
+    start_table_stream,
+)
 
 ONCE = {"availableNow": True}
 BASE = dt.datetime(2026, 5, 5, 10, tzinfo=dt.timezone.utc)
@@ -84,23 +91,36 @@ def test_restart_goes_on_where_it_stopped(spark, tmp_path):
 
 
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
-    def run():
-        query = start_raw(read_wire_files(spark, f"{tmp_path}/feed"), f"{tmp_path}/raw", flow(tmp_path))
+    log = ProgressLog(spark, f"{tmp_path}/progress", every=2)
+
+    def run(limit=None):
+        feed = read_wire_files(spark, f"{tmp_path}/feed", limit)
+        query = start_raw(feed, f"{tmp_path}/raw", flow(tmp_path))
         query.awaitTermination()
-        return query
-
-    send(spark, tmp_path, ("A", 0, 1), ("A", 600, 2))
-    assert late_rows_dropped(run()) == 0
-    # The watermark stands at 480 s: equal is late, above is not.
-    send(spark, tmp_path, ("B", 100, 1), ("B", 480, 1), ("B", 481, 1), ("A", 600, 2))
-    query = run()
-    assert late_rows_dropped(query) == 2
-    kept = read_table(spark, f"{tmp_path}/raw", RAW_LAYOUT).groupBy("symbol").count()
-    assert tuples(kept) == [("A", 2), ("B", 1)]
-    report = progress_report(spark, query)
-    assert report.agg(F.sum("late_rows_dropped")).first()[0] == 2
+        log.wait_for(query)
+        return late_rows_dropped(progress_report(spark, f"{tmp_path}/progress")).first()[0]
+
+    spark.streams.addListener(log)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        send(spark, tmp_path, ("A", 0, 1), ("A", 600, 2))
+        assert run() == 0
+        # The watermark stands at 480 s: equal is late, above is not.
+        send(spark, tmp_path, ("B", 100, 1), ("B", 480, 1), ("B", 481, 1), ("A", 600, 2))
+        assert run() == 2
+        kept = read_table(spark, f"{tmp_path}/raw", RAW_LAYOUT).groupBy("symbol").count()
+        assert tuples(kept) == [("A", 2), ("B", 1)]
+        # More batches than a query remembers, each with one late row.
+        for second in range(6):
+            send(spark, tmp_path, ("C", second, 1))
+        assert run(limit=1) == 8
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(log)
+    report = progress_report(spark, f"{tmp_path}/progress")
     assert {r.operator for r in report.collect()} == {"dedupe"}
     assert report.agg(F.max("input_rows")).first()[0] == 4
+    assert query_totals(report).collect()[0].input_rows == 12
 
 
 @pytest.mark.parametrize("fanout", [1, 5])

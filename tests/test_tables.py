@@ -9,7 +9,7 @@ from tickloom.operators import clean_and_deduplicate
 from tickloom.plans import bootstrap, window_metrics
 from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
 from tickloom.sources import read_table, time_range
-from tickloom.streaming import append_batch, distribute, table_ddl, write_table
+from tickloom.streaming import append_batch, compact, distribute, table_ddl, write_table
 from tickloom.streaming.tables import arrange, in_session_catalog
 
 
@@ -113,10 +113,32 @@ def test_appending_a_batch_again_changes_nothing(spark, tmp_path, kind):
     second = second.join(first.select("symbol", "trade_timestamp"), ["symbol", "trade_timestamp"], "left_anti")
     second = second.select(*RAW_LAYOUT.columns)
     for batch_id, batch in ((0, first), (1, second), (1, second), (0, first), (2, first.limit(0))):
-        append_batch(batch, batch_id, target, RAW_LAYOUT)
+        append_batch(batch, batch_id, target, RAW_LAYOUT, "q")
     assert tuples(read_table(spark, target, RAW_LAYOUT)) == tuples(first.unionByName(second))
 
 
+def test_two_queries_with_the_same_batch_number_keep_their_rows(spark, tmp_path):
+    first, second = some_trades(spark, seed=1), some_trades(spark, seed=2)
+    append_batch(first, 0, f"{tmp_path}/raw", RAW_LAYOUT, "a")
+    append_batch(second, 0, f"{tmp_path}/raw", RAW_LAYOUT, "b")
+    append_batch(first.limit(0), 1, f"{tmp_path}/raw", RAW_LAYOUT, "a")
+    assert tuples(read_table(spark, f"{tmp_path}/raw", RAW_LAYOUT)) == tuples(first.unionByName(second))
+    assert not list(Path(f"{tmp_path}/raw").rglob("batch_id=1"))
+
+
+def test_compaction_replaces_only_its_dates_and_sorts(spark, tmp_path):
+    trades = some_trades(spark)
+    write_table(trades, f"{tmp_path}/closed", RAW_LAYOUT)
+    for _ in range(2):
+        compact(trades, f"{tmp_path}/closed", RAW_LAYOUT, "2026-05-02", "2026-05-03")
+    assert tuples(read_table(spark, f"{tmp_path}/closed", RAW_LAYOUT)) == tuples(trades)
+    folders = {path.parent for path in Path(f"{tmp_path}/closed").rglob("*.parquet") if "trade_date=2026-05-02" in str(path)}
+    for folder in folders:
+        (file,) = folder.glob("*.parquet")
+        times = [r[0] for r in spark.read.parquet(str(file)).select("trade_timestamp").collect()]
+        assert times == sorted(times)
+
+
 def test_catalog_of_a_table_name(spark):
     assert in_session_catalog(spark, "ns.t") and in_session_catalog(spark, "spark_catalog.ns.t")
     assert not in_session_catalog(spark, "lake.ns.t")
@@ -125,8 +147,8 @@ def test_catalog_of_a_table_name(spark):
 def test_replayed_part_of_a_table_batch_is_completed(spark):
     target, _ = bootstrap(spark, f"ns_{uuid.uuid4().hex}", provider="parquet")
     batch = some_trades(spark)
-    append_batch(batch.where("symbol = 'MSFT'"), 0, target, RAW_LAYOUT)
-    append_batch(batch, 0, target, RAW_LAYOUT)
+    append_batch(batch.where("symbol = 'MSFT'"), 0, target, RAW_LAYOUT, "q")
+    append_batch(batch, 0, target, RAW_LAYOUT, "q")
     assert tuples(read_table(spark, target, RAW_LAYOUT)) == tuples(batch)
 
 

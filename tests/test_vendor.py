@@ -43,18 +43,23 @@ def test_malformed_messages(spark):
 def test_ingest_splits_filters_and_keeps_price_digits(spark):
     texts = [
         message(item(p="10.500"), item(s="B"), item(s="C")),
-        message(item(p=0), item(v=-1), item(s="")),
+        message(item(p="0.00"), item(v="bad"), item(s="", t="x"), item(t="x"), item(p=None)),
+        message(),
     ]
-    good, bad = ingest(messages(spark, *texts), "feed", ["A", "B", ""])
+    good, bad, malformed = ingest(messages(spark, *texts), "feed", ["A", "B"])
     assert sorted((r.symbol, r.price) for r in good.collect()) == [("A", "10.500"), ("B", "1.5")]
-    assert sorted(r.reject_reason for r in bad.collect()) == ["price", "symbol", "volume"]
+    found = {(r.reject_reason, r.symbol, r.price, r.volume, r.trade_timestamp) for r in bad.collect()}
+    assert "0.00" in {f[2] for f in found if f[0] == "price"}
+    assert sorted(f[0] for f in found) == ["price", "price", "symbol", "time", "volume"]
+    assert {f[3] for f in found if f[0] == "volume"} == {"bad"} and {f[4] for f in found if f[0] == "time"} == {"x"}
     letters = [json.loads(bytes(r.value)) for r in reject_messages(bad).collect()]
-    assert sorted(letter["reject_reason"] for letter in letters) == ["price", "symbol", "volume"]
-    assert all("price" in letter["original"] for letter in letters)
+    assert sorted(letter["reject_reason"] for letter in letters) == ["price", "price", "symbol", "time", "volume"]
+    assert all("price" in letter for letter in letters)
+    assert [r.value for r in malformed.collect()] == [message()]
 
 
 def test_published_payload_reads_back(spark):
-    good, _ = ingest(messages(spark, message(item(p=189.42, t=1715000000123), item(s="B", v=7))), "feed")
+    good, _, _ = ingest(messages(spark, message(item(p=189.42, t=1715000000123), item(s="B", v=7))), "feed")
     sent = trade_messages(good)
     payload = {bytes(r.key).decode(): json.loads(bytes(r.value)) for r in sent.collect()}
     assert list(payload["A"]) == ["symbol", "price", "volume", "trade_timestamp", "ingestion_timestamp", "source"]

@@ -27,7 +27,7 @@ PRODUCER_RETRIES = 10
 PRODUCER_LINGER_MS = 100
 SYMBOLS = "AAPL,MSFT,AMZN"
 
-WRITERS_PER_PARTITION = 4
+WRITERS_PER_PARTITION = 1
 REJECT_TABLE = "rejected_stream_data"
 REJECT_QUERY = "rejected_stream_data_writer"
 
@@ -84,7 +84,8 @@ class TradeFlow:
     keep_null_event_time: bool = False
     # Groups in which the copies of one trade are removed first; see deduplicate.
     copy_fanout: int = 1
-    # Writer tasks that share one (date, symbol) partition of a micro-batch.
+    # Writer tasks that share one (date, symbol) partition of a micro-batch. One keeps files few; more
+    # are for streams in which a single symbol is too much for a task.
     writers_per_partition: int = WRITERS_PER_PARTITION
     # Keyword arguments of DataStreamWriter.trigger; None means as soon as possible.
     trigger: dict | None = None

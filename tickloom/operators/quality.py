@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -10,9 +12,13 @@ from tickloom.functions import evaluate_once, to_event_time, to_price, to_volume
 from tickloom.session import require_utc
 
 
-def type_trades(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def type_trades(
+    df: DataFrame, keep: tuple[str, ...] = (), trade_time: Callable[[Column], Column] = to_event_time
+) -> DataFrame:
     """Text columns to typed ones; a column that is typed already stays as it is.
 
+    ``trade_time`` reads the text of a trade's time.
+
     ``has_times`` tells whether both times were present before they were parsed.
     """
     require_utc(df.sparkSession)
@@ -21,17 +27,17 @@ def type_trades(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.col("symbol").cast("string").alias("symbol"),
         to_price(F.col("price")).alias("price"),
         to_volume(F.col("volume")).alias("volume"),
-        _time(df, "trade_timestamp"),
-        _time(df, "ingestion_timestamp"),
+        _time(df, "trade_timestamp", trade_time),
+        _time(df, "ingestion_timestamp", to_event_time),
         F.col("source"),
         (F.col("trade_timestamp").isNotNull() & F.col("ingestion_timestamp").isNotNull()).alias("has_times"),
         keep=keep,
     )
 
 
-def _time(df: DataFrame, name: str) -> Column:
+def _time(df: DataFrame, name: str, read: Callable[[Column], Column]) -> Column:
     typed = isinstance(df.schema[name].dataType, TimestampType)
-    return (F.col(name) if typed else to_event_time(F.col(name))).alias(name)
+    return (F.col(name) if typed else read(F.col(name))).alias(name)
 
 
 # What an accepted trade satisfies, in the order in which the rules are applied.
@@ -52,21 +58,33 @@ def reject_reason(rules: dict[str, str]) -> Column:
     return F.expr(f"CASE {' '.join(cases)} END")
 
 
-def classify(df: DataFrame, keep_null_event_time: bool = False, keep_input: bool = False) -> DataFrame:
+def classify(
+    df: DataFrame,
+    keep_null_event_time: bool = False,
+    keep_input: bool = False,
+    trade_time: Callable[[Column], Column] = to_event_time,
+) -> DataFrame:
     """Typed trades plus ``reject_reason``: ``symbol``, ``price``, ``volume``, ``time`` or NULL.
 
-    ``keep_input`` adds the untouched input row as the struct ``original``, for
-    dead letters that can be repaired and sent again.
+    Rows decoded with their message have a further reason, ``json``, for text
+    that is none; it comes before the others.
+
+    ``keep_input`` adds the untouched input row as the struct ``original``, the
+    message's text included, for dead letters that can be repaired and sent again.
 
     ``keep_null_event_time`` accepts times that are present but unreadable.
     """
+    rules = LITERAL_RULES if keep_null_event_time else RULES
     keep: tuple[str, ...] = ()
+    if "malformed" in df.columns:
+        keep = ("malformed",)
+        rules = {"json": "NOT malformed"} | rules
     if keep_input:
-        df = df.select("*", F.struct("*").alias("original"))
-        keep = ("original",)
-    typed = type_trades(df, keep)
-    rules = LITERAL_RULES if keep_null_event_time else RULES
-    return typed.withColumn("reject_reason", reject_reason(rules)).drop("has_times")
+        original = F.struct(*[name for name in df.columns if name != "malformed"])
+        df = df.select("*", original.alias("original"))
+        keep = (*keep, "original")
+    typed = type_trades(df, keep, trade_time)
+    return typed.withColumn("reject_reason", reject_reason(rules)).drop("has_times", "malformed")
 
 
 def accepted(classified: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 from tickloom.plans.trade_flow import (
+    await_all,
     await_any,
     bootstrap,
     ingest,
@@ -12,6 +13,7 @@ from tickloom.plans.trade_flow import (
 )
 
 __all__ = [
+    "await_all",
     "await_any",
     "bootstrap",
     "ingest",

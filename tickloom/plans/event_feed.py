@@ -33,7 +33,7 @@ _K = "get_json_object(props, '$.k')"
 
 
 def wire_columns(events: DataFrame, shift_seconds: int = 0) -> DataFrame:
-    """The six text columns of a wire trade; every eleventh event is sent twice."""
+    """``event_id`` and the six text columns of a wire trade; every eleventh event is sent twice."""
     sent = events.selectExpr(
         "*",
         f"ts + make_dt_interval(0, 0, 0, {shift_seconds}) AS time",
@@ -41,6 +41,7 @@ def wire_columns(events: DataFrame, shift_seconds: int = 0) -> DataFrame:
     )
     arrival = "time + make_dt_interval(0, 0, 0, 1 + 5 * replay)"
     return sent.selectExpr(
+        "event_id",
         "CASE WHEN event_id % 19 <> 0 THEN event_type END AS symbol",
         """CASE WHEN event_id % 13 = 0 THEN '-1' WHEN event_id % 17 = 0 THEN 'abc'
              WHEN event_id % 61 = 0 THEN '12345678.5' WHEN event_id % 67 = 0 THEN '0.000125'
@@ -54,9 +55,11 @@ def wire_columns(events: DataFrame, shift_seconds: int = 0) -> DataFrame:
 
 
 def wire_messages(events: DataFrame, shift_seconds: int = 0) -> DataFrame:
-    """Wire trades as a topic delivers them: JSON bytes in ``value``."""
+    """Wire trades as a topic delivers them: JSON bytes in ``value``, every 59th event as text that is no JSON."""
     wire = wire_columns(events, shift_seconds)
-    return wire.select(message_value(**{name: F.col(name) for name in wire.columns}).alias("value"))
+    trade = message_value(**{name: F.col(name) for name in wire.columns if name != "event_id"})
+    garbage = F.concat(F.lit("garbage "), F.col("event_id")).cast("binary")
+    return wire.select(F.when(F.col("event_id") % 59 == 0, garbage).otherwise(trade).alias("value"))
 
 
 _ITEM = "struct<s: string, p: double, v: decimal(12,2), t: bigint>"

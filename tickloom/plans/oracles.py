@@ -12,10 +12,15 @@ _TIME = "CASE WHEN regexp_matches({0}, '^[0-9]{{4}}-[0-9-]+T[0-9:.]+[+]00:00$')
 _TRADE_TIME, _ARRIVAL = _TIME.format("trade_timestamp"), _TIME.format("ingestion_timestamp")
 
 
+_FIELDS = ["symbol", "price", "volume", "trade_timestamp", "ingestion_timestamp", "source"]
+_decoded = ", ".join(f"CASE WHEN event_id % 59 <> 0 THEN {field} END AS {field}" for field in _FIELDS)
+_pairs = ", ".join(f"'{field}', {field}" for field in _FIELDS)
+
+
 def _wire(name: str, shift_seconds: int = 0) -> str:
     return f"""
-{name} AS (
-  SELECT
+{name}_fields AS (
+  SELECT event_id,
     CASE WHEN event_id % 19 <> 0 THEN event_type END AS symbol,
     CASE WHEN event_id % 13 = 0 THEN '-1' WHEN event_id % 17 = 0 THEN 'abc'
          WHEN event_id % 61 = 0 THEN '12345678.5' WHEN event_id % 67 = 0 THEN '0.000125'
@@ -29,6 +34,12 @@ def _wire(name: str, shift_seconds: int = 0) -> str:
       AS ingestion_timestamp,
     'events' AS source
   FROM (SELECT *, unnest(CASE WHEN event_id % 11 = 0 THEN [0, 1] ELSE [0] END) AS replay FROM events)
+),
+{name} AS (
+  SELECT {_decoded},
+    CASE WHEN event_id % 59 = 0 THEN 'garbage ' || event_id
+         ELSE CAST(json_object({_pairs}) AS VARCHAR) END AS message
+  FROM {name}_fields
 )"""
 
 
@@ -139,6 +150,7 @@ def _judged(name: str, wire: str) -> str:
     return f"""
 {name} AS (
   SELECT *, CASE
+    WHEN message LIKE 'garbage%' THEN 'json'
     WHEN symbol IS NULL OR symbol = '' THEN 'symbol'
     WHEN {_PRICE} IS NULL OR NOT ({_PRICE} > 0 AND {_PRICE} < 'infinity') THEN 'price'
     WHEN {_VOLUME} IS NULL OR {_VOLUME} < 0 THEN 'volume'
@@ -149,7 +161,7 @@ def _judged(name: str, wire: str) -> str:
 
 
 ORACLES: dict[str, str] = {
-    "wire_decode": _sql([_wire("wire")], "SELECT * FROM wire"),
+    "wire_decode": _sql([_wire("wire")], "SELECT * EXCLUDE (message) FROM wire"),
     "trade_clean": _sql(_CLEAN, "SELECT * FROM clean"),
     "trade_clean_literal": _sql(_CLEAN_LITERAL, "SELECT * FROM clean"),
     "trade_dedup": _sql(_TRADES, "SELECT * FROM trades"),
@@ -209,6 +221,29 @@ FROM trades GROUP BY 1, 2""",
 SELECT *, CAST(trade_timestamp AS DATE) AS trade_date FROM vendor
 WHERE symbol IN ({_SUBSCRIBED}) AND price > 0 AND volume >= 0""",
     ),
+    "vendor_rejects": _sql(
+        [
+            _MESSAGES,
+            """
+items AS (
+  SELECT event_type AS s, value AS p, CAST(k AS DECIMAL(12, 2)) AS v, epoch_us(ts) // 1000 AS t FROM messages WHERE kind = 'usable'
+  UNION ALL
+  SELECT event_type, value, NULL, epoch_us(ts) // 1000 FROM messages WHERE kind = 'usable' AND event_id % 7 = 0
+  UNION ALL
+  SELECT event_type, value, CAST(k AS DECIMAL(12, 2)) + 0.75, epoch_us(ts) // 1000 + 1
+  FROM messages WHERE kind = 'usable' AND event_id % 5 = 0
+  UNION ALL
+  SELECT event_type, NULL, CAST(k AS DECIMAL(12, 2)), epoch_us(ts) // 1000 FROM messages
+  WHERE event_id % 47 = 0 AND event_id % 31 <> 0 AND event_id % 37 <> 0 AND event_id % 41 <> 0 AND event_id % 43 <> 0
+),
+judged AS (
+  SELECT s AS symbol, CAST(p AS VARCHAR) AS price, CAST(CAST(v AS DOUBLE) AS VARCHAR) AS volume, CAST(t AS VARCHAR) AS trade_timestamp,
+         CASE WHEN p IS NULL OR p <= 0 THEN 'price' WHEN v IS NULL OR v < 0 THEN 'volume' END AS reject_reason
+  FROM items
+)""",
+        ],
+        "SELECT * FROM judged WHERE reject_reason IS NOT NULL",
+    ),
     "reject_report": _sql(
         [_wire("wire"), _judged("judged", "wire")],
         "SELECT reject_reason AS outcome, count(*) AS trade_count FROM judged GROUP BY outcome",
@@ -280,6 +315,18 @@ both_waves AS (
     "stream_late_report": _sql(
         _LATE, "SELECT count(*) AS late_rows_dropped FROM late, mark WHERE trade_timestamp <= watermark"
     ),
+    "flow_tables": _sql(_TRADES, f"SELECT {_STORED} FROM trades"),
+    "flow_replay": _sql(
+        [*_TRADES, _wire("sent"), _judged("judged", "sent")],
+        """
+SELECT (SELECT count(*) FROM trades) AS raw_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT symbol, trade_timestamp FROM trades)) AS raw_keys,
+       (SELECT 2 * count(*) FROM judged WHERE reject_reason <> 'accepted') AS reject_rows""",
+    ),
+    "compacted_table_read": _sql(
+        _TRADES,
+        f"SELECT {_STORED} FROM trades WHERE trade_date BETWEEN DATE '{RANGE_START[:10]}' AND DATE '{RANGE_END[:10]}'",
+    ),
     "stream_progress": _sql(
         _LATE,
         """

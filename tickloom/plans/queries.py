@@ -38,10 +38,17 @@ from tickloom.plans.event_feed import (
     read_events,
     stream_events,
     vendor_messages,
-    wire_columns,
     wire_messages,
 )
-from tickloom.plans.trade_flow import ingest, start_aggregated, start_raw, start_rejects, window_metrics
+from tickloom.plans.trade_flow import (
+    bootstrap,
+    ingest,
+    run_trade_flow,
+    start_aggregated,
+    start_raw,
+    start_rejects,
+    window_metrics,
+)
 from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT, REJECT_SCHEMA
 from tickloom.session import prepare_session, scratch_dir
 from tickloom.sources import (
@@ -55,6 +62,7 @@ from tickloom.sources import (
 from tickloom.streaming import (
     ProgressLog,
     append_batch,
+    compact,
     late_rows_dropped,
     progress_report,
     query_totals,
@@ -92,8 +100,12 @@ def wire(spark: SparkSession, folder: str) -> DataFrame:
     return decode_wire(wire_messages(read_events(spark, folder)))
 
 
+def wire_with_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return decode_wire(wire_messages(read_events(spark, folder)), keep_message=True)
+
+
 def wire_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return decode_wire(wire_messages(stream_events(spark, folder)))
+    return decode_wire(wire_messages(stream_events(spark, folder)), keep_message=True)
 
 
 def trades(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,11 +154,11 @@ def trade_dedup_literal(spark, folder):
 
 
 def reject_report(spark, folder):
-    return reject_counts(classify(wire(spark, folder)))
+    return reject_counts(classify(wire_with_messages(spark, folder)))
 
 
 def reject_rows(spark, folder):
-    return rejected_input(classify(wire(spark, folder), keep_input=True))
+    return rejected_input(classify(wire_with_messages(spark, folder), keep_input=True))
 
 
 def symbol_allow_list(spark, folder):
@@ -241,10 +253,16 @@ def vendor_malformed(spark, folder):
 
 
 def vendor_ingest(spark, folder):
-    good, _ = ingest(vendor_messages(read_events(spark, folder)), SOURCE, SUBSCRIBED)
+    good, _, _ = ingest(vendor_messages(read_events(spark, folder)), SOURCE, SUBSCRIBED)
     return clean_trades(decode_wire(trade_messages(good))).drop("ingestion_timestamp")
 
 
+def vendor_rejects(spark, folder):
+    """Items that a rule rejects, with their text; the list of symbols does not hide them."""
+    _, bad, _ = ingest(vendor_messages(read_events(spark, folder)), SOURCE, SUBSCRIBED)
+    return bad.drop("ingestion_timestamp", "source")
+
+
 def kafka_payload(spark, folder):
     messages = trade_messages(trades(spark, folder))
     return messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
@@ -348,6 +366,59 @@ def stream_restart(spark, folder):
     return read_table(spark, f"{root}/aggregated", AGGREGATED_LAYOUT)
 
 
+def _run_flow(spark: SparkSession, folder: str, runs: int) -> list[str]:
+    """The whole flow into catalog tables, in three waves of rising time; ``runs`` times, each with new checkpoints.
+
+    Both table queries and the dead letters are live at once. Returns the names of the three tables.
+    """
+    root = scratch_dir(spark, "flow")
+    namespace = f"flow_{root.rsplit('-', 1)[1]}"
+    raw, aggregated = bootstrap(spark, namespace, provider="parquet")
+    rejects = f"{namespace}.rejects"
+    events = read_events(spark, folder)
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(seconds), F.max(seconds)).first()
+    wave = F.floor((seconds - low) * 3 / (high - low + 1))
+    for number in range(3):
+        _send(wire_messages(events.where(wave == number)), f"{root}/feed")
+        for run in range(runs if number == 2 else 1):
+            flow = TradeFlow(checkpoint_root=f"{root}/checkpoints{run}", trigger={"availableNow": True})
+            for query in run_trade_flow(read_wire_files(spark, f"{root}/feed"), raw, aggregated, flow, rejects):
+                _finish(query)
+    return [raw, aggregated, rejects]
+
+
+def flow_tables(spark, folder):
+    raw, _, _ = _run_flow(spark, folder, runs=1)
+    return _stored(read_table(spark, raw, RAW_LAYOUT))
+
+
+def flow_replay(spark, folder):
+    """After a lost checkpoint all is read again: tables with keys do not grow, dead letters come a second time."""
+    raw, _, rejects = _run_flow(spark, folder, runs=2)
+    rows = read_table(spark, raw, RAW_LAYOUT)
+    keys = rows.select("symbol", "trade_timestamp", F.lit(1).alias("raw"), F.lit(0).alias("reject"))
+    nothing = F.lit(None)
+    letters = spark.table(rejects).select(
+        nothing.cast("string").alias("symbol"), nothing.cast("timestamp").alias("trade_timestamp"), F.lit(0).alias("raw"), F.lit(1).alias("reject")
+    )
+    return keys.unionByName(letters).agg(
+        F.sum("raw").alias("raw_rows"),
+        F.count_distinct("symbol", "trade_timestamp").alias("raw_keys"),
+        F.sum("reject").alias("reject_rows"),
+    )
+
+
+def compacted_table_read(spark, folder):
+    """A streamed table, its closed dates rewritten, and these read."""
+    root = scratch_dir(spark, "compact")
+    _finish(start_raw(wire_stream(spark, folder), f"{root}/raw", _flow(root)))
+    stored = read_table(spark, f"{root}/raw", RAW_LAYOUT)
+    for _ in range(2):
+        compact(stored, f"{root}/closed", RAW_LAYOUT, RANGE_START[:10], RANGE_END[:10])
+    return _stored(read_table(spark, f"{root}/closed", RAW_LAYOUT))
+
+
 def _send(messages: DataFrame, path: str) -> None:
     messages.select(F.col("value").cast("string")).write.mode("append").text(path)
 
@@ -421,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "vendor_explode": vendor_explode,
     "vendor_malformed": vendor_malformed,
     "vendor_ingest": vendor_ingest,
+    "vendor_rejects": vendor_rejects,
     "reject_report": reject_report,
     "reject_rows": reject_rows,
     "symbol_allow_list": symbol_allow_list,
@@ -440,6 +512,9 @@ QUERIES: dict[str, Query] = {
     "stream_late_data": stream_late_data,
     "stream_late_report": stream_late_report,
     "stream_progress": stream_progress,
+    "flow_tables": flow_tables,
+    "flow_replay": flow_replay,
+    "compacted_table_read": compacted_table_read,
     "stream_reconcile": stream_reconcile,
     **{name: sql_query(statement) for name, statement in SQL.items()},
 }

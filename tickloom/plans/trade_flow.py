@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.config import (
@@ -22,17 +23,16 @@ from tickloom.config import (
     KafkaSink,
     TradeFlow,
 )
+from tickloom.functions import epoch_millis_to_time
 from tickloom.operators import (
-    accepted_input,
     aggregate_windows,
     allow_symbols,
     classify,
     clean_and_deduplicate,
-    rejected,
     rejected_input,
 )
 from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
-from tickloom.sources import explode_messages
+from tickloom.sources import explode_items, malformed_messages
 from tickloom.sources.tables import is_path
 from tickloom.streaming import (
     ensure_namespace,
@@ -105,12 +105,21 @@ def start_aggregated(wire: DataFrame, target: str, flow: TradeFlow) -> Streaming
 
 
 def start_rejects(wire: DataFrame, target: str, flow: TradeFlow) -> StreamingQuery:
-    """The rejected rows as they came in, each with its reason."""
+    """The rejected rows as they came in, each with its reason.
+
+    A path gets Spark's file sink and belongs to this checkpoint. A table gets
+    each micro-batch appended: rejected rows have no key, so a batch that is
+    read again after a failure is there twice, and none is lost.
+    """
     rows = rejected_input(classify(wire, flow.keep_null_event_time, keep_input=True))
     writer = stream_writer(rows, flow.checkpoint(REJECT_TABLE), REJECT_QUERY, flow.trigger)
     if is_path(target):
         return writer.format("parquet").partitionBy("reject_reason").start(target)
-    return writer.toTable(target)
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("append").saveAsTable(target)
+
+    return writer.foreachBatch(append).start()
 
 
 def run_trade_flow(
@@ -132,7 +141,9 @@ def run_trade_flow(
 
 
 def run_serving_flow(wire: DataFrame, database: JdbcTarget, flow: TradeFlow) -> list[StreamingQuery]:
-    """The same two streams into a serving database."""
+    """The same two streams into a serving database, whose times may not be NULL."""
+    if flow.keep_null_event_time:
+        raise ValueError("rows without event time cannot go to a serving database")
     sinks = [
         (_raw_rows(wire, flow), SERVING_RAW_TABLE, RAW_LAYOUT, SERVING_RAW_QUERY),
         (_window_rows(wire, flow), SERVING_AGGREGATED_TABLE, AGGREGATED_LAYOUT, SERVING_AGGREGATED_QUERY),
@@ -154,13 +165,34 @@ def await_any(spark: SparkSession, queries: list[StreamingQuery], timeout: int |
         spark.streams.resetTerminated()
 
 
-def ingest(messages: DataFrame, source: str, symbols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Vendor messages to accepted trades, price digits as sent, and rejected ones with their reason."""
-    trades = explode_messages(messages, source)
+def await_all(queries: list[StreamingQuery]) -> None:
+    """Wait until every query has ended; if one fails, stop the others and raise its error."""
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            if query.isActive:
+                query.stop()
+
+
+def ingest(
+    messages: DataFrame, source: str, symbols: list[str] | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Vendor messages to accepted trades, rejected items and malformed messages.
+
+    Accepted trades keep the text of their price. Rejected items, incomplete ones
+    too, keep all of their text and the reason; the list of subscribed symbols
+    is applied to what the rules accept. Malformed messages carry no complete
+    trade at all; they are returned as they came.
+    """
+    classified = classify(explode_items(messages, source), keep_input=True, trade_time=epoch_millis_to_time)
+    good = classified.where(F.col("reject_reason").isNull()).select(
+        "symbol", "original.price", "volume", "trade_timestamp", "ingestion_timestamp", "source"
+    )
     if symbols is not None:
-        trades = allow_symbols(trades, symbols)
-    classified = classify(trades, keep_input=True)
-    return accepted_input(classified), rejected(classified)
+        good = allow_symbols(good, symbols)
+    return good, rejected_input(classified), malformed_messages(messages)
 
 
 def run_ingest(
@@ -171,8 +203,11 @@ def run_ingest(
     symbols: list[str] | None = None,
     rejects_to: KafkaSink | None = None,
 ) -> list[StreamingQuery]:
-    """Publish the accepted trades of a vendor message stream and, on request, its dead letters."""
-    good, bad = ingest(messages, source, symbols)
+    """Publish the accepted trades of a vendor message stream and, on request, its dead letters.
+
+    Malformed messages are dead letters as well, with the reason ``message``.
+    """
+    good, bad, malformed = ingest(messages, source, symbols)
     started = [
         start_publishing(
             trade_messages(good), trades_to, flow.checkpoint(trades_to.topic), trades_to.client_id, flow.trigger
@@ -180,6 +215,8 @@ def run_ingest(
     ]
     if rejects_to is not None:
         name = f"{trades_to.client_id}-rejects"
+        whole = malformed.select(F.col("value").cast("string").alias("message"), F.lit("message").alias("reject_reason"))
+        bad = bad.unionByName(whole, allowMissingColumns=True)
         started.append(
             start_publishing(reject_messages(bad), rejects_to, flow.checkpoint(rejects_to.topic), name, flow.trigger)
         )

@@ -48,8 +48,10 @@ RAW_SCHEMA = _struct(
     trade_date=DateType(),
 )
 
-# A rejected row: the wire text as it came in, and the first rule it failed.
-REJECT_SCHEMA = StructType([*WIRE_SCHEMA.fields, StructField("reject_reason", StringType(), True)])
+# A rejected row: the wire text as it came in, the whole message, and the first rule it failed.
+REJECT_SCHEMA = StructType(
+    [*WIRE_SCHEMA.fields, *(StructField(name, StringType(), True) for name in ("message", "reject_reason"))]
+)
 
 AGGREGATED_SCHEMA = _struct(
     symbol=StringType(),

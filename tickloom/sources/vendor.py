@@ -17,25 +17,40 @@ def _complete(item: Column) -> Column:
     return item["s"].isNotNull() & item["p"].isNotNull() & item["v"].isNotNull() & item["t"].isNotNull()
 
 
-def explode_messages(messages: DataFrame, source: str, column: str = "value") -> DataFrame:
-    """One row per complete trade in messages of type ``trade``.
+def explode_items(messages: DataFrame, source: str, column: str = "value") -> DataFrame:
+    """One row per item in messages of type ``trade``, complete or not, its fields as text.
 
-    ``price`` stays text, so that no digit of it is lost on the way to the
-    topic; volume and time are typed. Items that lack a symbol, price, volume or time are skipped, as are
-    messages of other types and text that is not JSON.
+    The time is the text of epoch milliseconds.
     """
     envelope = messages.select(F.inline(F.array(_message(column))))
     items = envelope.where(F.col("type") == "trade").select(F.inline("data"))
-    return items.dropna(subset=["s", "p", "v", "t"]).select(
+    return items.select(
         F.col("s").alias("symbol"),
         F.col("p").alias("price"),
-        to_volume(F.col("v")).alias("volume"),
-        epoch_millis_to_time(F.col("t")).alias("trade_timestamp"),
+        F.col("v").alias("volume"),
+        F.col("t").alias("trade_timestamp"),
         F.current_timestamp().alias("ingestion_timestamp"),
         F.lit(source).alias("source"),
     )
 
 
+def explode_messages(messages: DataFrame, source: str, column: str = "value") -> DataFrame:
+    """One row per complete trade in messages of type ``trade``.
+
+    ``price`` stays text as the JSON reader gives it (a number passes through a
+    double there); volume and time are typed. Items that lack a symbol, price,
+    volume or time are skipped, as are messages of other types and text that is
+    not JSON.
+    """
+    complete = explode_items(messages, source, column).dropna(subset=["symbol", "price", "volume", "trade_timestamp"])
+    return complete.withColumns(
+        {
+            "volume": to_volume(F.col("volume")),
+            "trade_timestamp": epoch_millis_to_time(F.col("trade_timestamp")),
+        }
+    )
+
+
 def malformed_messages(messages: DataFrame, column: str = "value") -> DataFrame:
     """The messages of type ``trade`` that carry no complete trade, unchanged."""
     envelope = messages.select("*", F.inline(F.array(_message(column))))

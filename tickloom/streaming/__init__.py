@@ -3,6 +3,7 @@ from tickloom.streaming.progress import ProgressLog, late_rows_dropped, progress
 from tickloom.streaming.tables import (
     append_batch,
     arrange,
+    compact,
     distribute,
     ensure_namespace,
     ensure_table,
@@ -24,6 +25,7 @@ __all__ = [
     "append_batch",
     "append_jdbc_batch",
     "arrange",
+    "compact",
     "distribute",
     "ensure_namespace",
     "ensure_table",

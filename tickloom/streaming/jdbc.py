@@ -18,11 +18,12 @@ SERVING_TYPES = {
     "timestamp": "TIMESTAMPTZ",
     "date": "DATE",
 }
-OPTIONAL = {"source"}
+# A total beyond the bigint range is NULL, in the stream and here.
+OPTIONAL = {"source", "total_volume"}
 
 
 def serving_ddl(table: str, layout: Layout) -> str:
-    """``CREATE TABLE`` for the database, for whoever administers it; only ``source`` may be NULL.
+    """``CREATE TABLE`` for the database, for whoever administers it; ``source`` and ``total_volume`` may be NULL.
 
     Without it Spark creates the table on the first append, all columns nullable.
     """

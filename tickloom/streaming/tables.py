@@ -75,6 +75,18 @@ def write_table(
     arrange(df, layout, writers_per_partition).write.mode(mode).partitionBy(*layout.partition_by).parquet(path)
 
 
+def compact(table: DataFrame, path: str, layout: Layout, first_date: str, last_date: str) -> None:
+    """Rewrite closed dates of a streamed table in few files, in time order, under a path.
+
+    A stream writes small files that are not sorted. Only the dates from
+    ``first_date`` to ``last_date`` are read, and only these dates' partitions of
+    the target are replaced, so a job that failed or ran before can run again.
+    """
+    closed = table.where(F.col("trade_date").between(F.to_date(F.lit(first_date)), F.to_date(F.lit(last_date))))
+    rows = arrange(closed, layout)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layout.partition_by).parquet(path)
+
+
 def append_batch(
     batch: DataFrame,
     batch_id: int,
