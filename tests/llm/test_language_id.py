@@ -18,8 +18,8 @@ def test_other_evidence_decides_where_the_text_does_not(spark):
     english, german = "the house and the garden of the king", "das haus und der garten des königs"
     training = spark.createDataFrame([(english, "en"), (german, "de")] * 20, "text string, label string")
     rows = [(i, english, "en", "uk", "a.uk", "a.uk", "x") for i in range(40)] + [(100 + i, german, "de", "de", "b.de", "b.de", "x") for i in range(40)]
-    rows += [(900, "zq", "de", None, None, None, "x"), (901, "zq", None, "de", None, None, "x"), (902, "zq", None, None, "b.de", "b.de", "x"),
-             (903, "zq", None, None, "a.uk", "a.uk", "x"), (904, "", "de", "de", "b.de", "b.de", "x"), (905, "123 456", None, None, None, None, "x")]
+    rows += [(900, "zq zqqz", "de", None, None, None, "x"), (901, "zq zqqz", None, "de", None, None, "x"), (902, "zq zqqz", None, None, "b.de", "b.de", "x"),
+             (903, "zq zqqz", None, None, "a.uk", "a.uk", "x"), (904, "", "de", "de", "b.de", "b.de", "x"), (905, "123 456", None, None, None, None, "x")]
     got = {r.doc_id: r for r in identify(spark.createDataFrame(rows, ROWS), fit(training)).collect()}
     assert [got[i].language for i in (0, 100, 900, 901, 902, 903, 904)] == ["en", "de", "de", "de", "de", "en", "de"]
     assert got[902].accepted and not got[904].accepted and not got[905].accepted and got[0].extra == "x"

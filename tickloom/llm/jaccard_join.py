@@ -35,7 +35,7 @@ from tickloom.llm.tables import partitions, written
 WORDS, THRESHOLD = 5, 80
 CHUNK_BYTES = 1 << 20
 # Keys packed together before they are shipped, per task.
-SHIP_KEYS = 1 << 20
+SHIP_KEYS = 1 << 19
 # A key of more documents than this in one chunk is thinned out to the first of them.
 THIN = 8
 # Meetings of more documents than this are linked to the first one without a sketch check.
@@ -85,7 +85,7 @@ def _shipments(docs: DataFrame, words: int, threshold: int, buckets: int) -> Dat
         names = np.asarray(ids, np.int64)
         out: list[tuple] = []
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
-        for first, last in zip(starts, [*starts[1:], len(bucket)], strict=True):
+        for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)][: len(starts)], strict=True):
             held, counts = np.unique(owner[first:last], return_counts=True)
             out.append((int(bucket[first]), names[held].tobytes(), counts.astype(np.int32).tobytes(), rest[first:last].tobytes(), b""))
         if stars:
@@ -146,29 +146,19 @@ def _meetings(shipments: DataFrame, n: int) -> DataFrame:
     ``sure`` lists are linked without a sketch check.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, counts, keys, buckets, stars = [], [], [], [], []
-        for batch in batches:
-            for bucket, *parts in zip(*(column(batch, c).to_pylist() for c in ("bucket", "docs", "counts", "keys", "stars")), strict=True):
-                docs.append(np.frombuffer(parts[0], np.int64))
-                counts.append(np.frombuffer(parts[1], np.int32))
-                raw = np.frombuffer(parts[2], np.uint8).reshape(-1, KEY_BYTES)
-                wide = np.zeros((len(raw), 8), np.uint8)
-                wide[:, :KEY_BYTES] = raw
-                keys.append(wide.view("<u8").ravel())
-                buckets.append(np.full(len(raw), bucket, np.uint32))
-                stars.append(np.frombuffer(parts[3], np.int64).reshape(-1, 2))
-        if not docs:
-            return
-        key = np.concatenate(keys)
-        doc = np.repeat(np.concatenate(docs), np.concatenate(counts))
-        # Keys of different buckets may meet in one task; 40 bits of the key leave room for 24 of the bucket.
-        key |= np.concatenate(buckets).astype(np.uint64) << np.uint64(8 * KEY_BYTES)
+    def meet(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """The meetings of one bucket, from its packs ``docs, counts, keys, stars``."""
+        docs = np.concatenate([np.frombuffer(row[0], np.int64) for row in rows])
+        doc = np.repeat(docs, np.concatenate([np.frombuffer(row[1], np.int32) for row in rows]))
+        raw = np.concatenate([np.frombuffer(row[2], np.uint8) for row in rows]).reshape(-1, KEY_BYTES)
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, :KEY_BYTES] = raw
+        key = wide.view("<u8").ravel()
         order = np.argsort(key, kind="stable")
         key, doc = key[order], doc[order]
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
         sizes = np.diff(np.r_[starts, len(key)])
-        links = list(stars)
+        links = [np.frombuffer(row[3], np.int64).reshape(-1, 2) for row in rows]
         seen: set[bytes] = set()
         lists: list[np.ndarray] = []
         for at in np.flatnonzero(sizes > 1):
@@ -189,7 +179,20 @@ def _meetings(shipments: DataFrame, n: int) -> DataFrame:
                     ["list", "sure", "doc_id"],
                 )
 
-    return shipments.repartition(n, "bucket").mapInArrow(run, "list bigint, sure boolean, doc_id bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        last = None
+        for batch in batches:
+            for bucket, *pack in zip(*(column(batch, c).to_pylist() for c in ("bucket", "docs", "counts", "keys", "stars")), strict=True):
+                if held and bucket != last:
+                    yield from meet(held)
+                    held = []
+                last = bucket
+                held.append(tuple(pack))
+        if held:
+            yield from meet(held)
+
+    return shipments.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "list bigint, sure boolean, doc_id bigint")
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:

@@ -175,8 +175,24 @@ def _ship(docs: DataFrame, match: int, gram: int, buckets: int) -> DataFrame:
 def _dictionary(shipped: DataFrame, n: int, buckets: int) -> DataFrame:
     """Findings: occurrences that repeat an earlier phrase, and phrases whose windows have to be compared."""
 
+    def settle(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """The findings of one bucket of triggers."""
+        doc, tag, start, count, trigger, content = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((start, doc, content, trigger))
+        doc, tag, start, count, trigger, content = (x[order] for x in (doc, tag, start, count, trigger, content))
+        entries = _runs(trigger, content)
+        later = _later(entries, doc, start)
+        yield from _found(COVER, doc[later], tag[later], start[later], count[later], buckets)
+        begins = _runs(trigger)
+        different = np.diff(np.r_[np.searchsorted(entries, begins), len(entries)])
+        different = np.repeat(different, np.diff(np.r_[begins, len(trigger)]))
+        for what, wanted in ((ASK, (different > 1) & (different <= HOT)), (ASK_HOT, different > HOT)):
+            ask = ~later & wanted
+            yield from _found(what, doc[ask], tag[ask], start[ask], count[ask], buckets, key=trigger[ask])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple] = []
+        last = None
         for batch in batches:
             for row in zip(*(column(batch, part.split()[0]).to_pylist() for part in SHIPPED.split(", ")), strict=True):
                 bucket, docs, tags, held, triggers, contents, starts, counts, covered = row
@@ -184,6 +200,10 @@ def _dictionary(shipped: DataFrame, n: int, buckets: int) -> DataFrame:
                     doc, tag, start, count = np.frombuffer(covered, "<i8").reshape(4, -1)
                     yield from _found(COVER, doc, tag, start, count, buckets)
                     continue
+                if parts and bucket != last:
+                    yield from settle(parts)
+                    parts = []
+                last = bucket
                 held = np.frombuffer(held, "<u4")
                 trigger = _long(triggers, TRIGGER_BYTES) | np.uint64(bucket << (8 * TRIGGER_BYTES))
                 wide = "<u4" if len(starts) == 4 * len(trigger) else "<i8"
@@ -193,23 +213,10 @@ def _dictionary(shipped: DataFrame, n: int, buckets: int) -> DataFrame:
                         np.frombuffer(starts, wide).astype(np.int64), np.frombuffer(counts, np.uint8).astype(np.int64), trigger, _long(contents, CONTENT_BYTES),
                     )
                 )
-        if not parts:
-            return
-        doc, tag, start, count, trigger, content = (np.concatenate(x) for x in zip(*parts, strict=True))
-        del parts
-        order = np.lexsort((start, doc, content, trigger))
-        doc, tag, start, count, trigger, content = (x[order] for x in (doc, tag, start, count, trigger, content))
-        entries = _runs(trigger, content)
-        later = _later(entries, doc, start)
-        yield from _found(COVER, doc[later], tag[later], start[later], count[later], buckets)
-        begins = _runs(trigger)
-        different = np.diff(np.r_[np.searchsorted(entries, begins), len(entries)])
-        different = np.repeat(different, np.diff(np.r_[begins, len(trigger)]))
-        for what, wanted in ((ASK, (different > 1) & (different <= HOT)), (ASK_HOT, different > HOT)):
-            ask = ~later & wanted
-            yield from _found(what, doc[ask], tag[ask], start[ask], count[ask], buckets, key=trigger[ask])
+        if parts:
+            yield from settle(parts)
 
-    return shipped.repartition(n, "bucket").mapInArrow(run, FOUND)
+    return shipped.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
 
 
 # --- texts and findings by bucket ---------------------------------------------------------
@@ -359,34 +366,41 @@ def suffix_repeats(key, doc, start, count, content: bytes, match: int) -> Iterat
 
 
 def _compare(sent: DataFrame, match: int, n: int, buckets: int) -> DataFrame:
+    def settle(kind: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """The findings of one bucket and kind."""
+        key, doc, tag, start, count, content = (np.concatenate(x) for x in zip(*rows, strict=True))
+        tag, count = tag.astype(np.int64), count.astype(np.int64)
+        if kind == 2:
+            yield from _found(COVER, doc, tag, start, count, buckets)
+        elif kind == 1:
+            second = content.view("<u8")
+            order = np.lexsort((start, doc, second, key))
+            key, second, doc, tag, start, count = (x[order] for x in (key, second, doc, tag, start, count))
+            later = _later(_runs(key, second), doc, start)
+            yield from _found(COVER, doc[later], tag[later], start[later], count[later], buckets)
+        else:
+            begins = np.cumsum(np.r_[0, count + match - 1])
+            order = np.lexsort((start, doc, key))
+            raw = content.tobytes()
+            content = b"".join([raw[begins[i] : begins[i + 1]] for i in order.tolist()])
+            key, doc, tag, start, count = (x[order] for x in (key, doc, tag, start, count))
+            for row, place in suffix_repeats(key, doc, start, count, content, match):
+                yield from _found(COVER, doc[row], tag[row], start[row] + place, np.ones(len(row), np.int64), buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, list[tuple]] = {0: [], 1: [], 2: []}
+        rows: list[tuple] = []
+        last = None
         for batch in batches:
-            for _, kind, *raw in zip(*(column(batch, p.split()[0]).to_pylist() for p in SENT.split(", ")), strict=True):
-                parts[kind].append(tuple(np.frombuffer(x, t) for x, t in zip(raw, ("<u8", "<i8", "<u4", "<i8", "<u4", np.uint8), strict=True)))
-        for kind, rows in parts.items():
-            if not rows:
-                continue
-            key, doc, tag, start, count, content = (np.concatenate(x) for x in zip(*rows, strict=True))
-            tag, count = tag.astype(np.int64), count.astype(np.int64)
-            if kind == 2:
-                yield from _found(COVER, doc, tag, start, count, buckets)
-            elif kind == 1:
-                second = content.view("<u8")
-                order = np.lexsort((start, doc, second, key))
-                key, second, doc, tag, start, count = (x[order] for x in (key, second, doc, tag, start, count))
-                later = _later(_runs(key, second), doc, start)
-                yield from _found(COVER, doc[later], tag[later], start[later], count[later], buckets)
-            else:
-                begins = np.cumsum(np.r_[0, count + match - 1])
-                order = np.lexsort((start, doc, key))
-                raw = content.tobytes()
-                content = b"".join([raw[begins[i] : begins[i + 1]] for i in order.tolist()])
-                key, doc, tag, start, count = (x[order] for x in (key, doc, tag, start, count))
-                for row, place in suffix_repeats(key, doc, start, count, content, match):
-                    yield from _found(COVER, doc[row], tag[row], start[row] + place, np.ones(len(row), np.int64), buckets)
-
-    return sent.repartition(n, "bucket").mapInArrow(run, FOUND)
+            for bucket, kind, *raw in zip(*(column(batch, p.split()[0]).to_pylist() for p in SENT.split(", ")), strict=True):
+                if rows and (bucket, kind) != last:
+                    yield from settle(last[1], rows)
+                    rows = []
+                last = (bucket, kind)
+                rows.append(tuple(np.frombuffer(x, t) for x, t in zip(raw, ("<u8", "<i8", "<u4", "<i8", "<u4", np.uint8), strict=True)))
+        if rows:
+            yield from settle(last[1], rows)
+
+    return sent.repartition(n, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, FOUND)
 
 
 # --- step 4 -------------------------------------------------------------------------------
