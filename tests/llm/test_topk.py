@@ -40,6 +40,6 @@ def test_components_too_large_for_doubles(spark):
     rows = [(0, [3e12, 1.0], 0), (1, [3e12, 2.0], 0), (2, [3e12, 3.0], 0)]
     limit = 2**63 - 1
     assert found(spark, rows) == {0: [(1, limit), (2, limit)]}
-    rows = [(0, [4e9, 1.0], 0), (1, [1e6, 3.0], 0), (2, [1e6, 4.0], 0)]
+    rows = [(0, [1e7, 1.0], 0), (1, [1e6, 3.0], 0), (2, [1e6, 4.0], 0)]
     vectors = {r.vec_id: r.embedding for r in spark.createDataFrame(rows, SCHEMA).collect()}
     assert found(spark, rows) == {0: brute.top(vectors, 0, 5)}
