@@ -1,9 +1,15 @@
 """Connector options. The Kafka and database drivers are not installed here, so nothing is sent."""
 
+import subprocess
+import sys
+import time
+from pathlib import Path
+
 import duckdb
 import pytest
 from helpers import trade, wire_rows
 
+from tickloom import session as session_module
 from tickloom.config import JdbcTarget, KafkaSink, KafkaSource, TradeFlow
 from tickloom.operators import clean_and_deduplicate
 from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
@@ -90,7 +96,7 @@ class FakeSession:
     """Just enough of a session to ask for a scratch folder."""
 
     def __init__(self, master, folder=None):
-        self.master = master
+        self.applicationId = master
         self.sparkContext = self.conf = self
         self.folder = folder
 
@@ -101,7 +107,27 @@ class FakeSession:
         return self.folder
 
 
-def test_scratch_without_a_shared_folder():
-    assert scratch_dir(FakeSession("spark://host:7077", "hdfs://shared/"), "x").startswith("hdfs://shared/x-")
+def test_scratch_without_a_shared_folder(monkeypatch):
+    made = []
+    monkeypatch.setattr(session_module, "make_until_exit", lambda spark, folder: made.append(folder))
+    assert scratch_dir(FakeSession("spark://host:7077", "hdfs://shared/"), "x").startswith("hdfs://shared/tickloom-spark://host:7077/x-")
     for master in ("local[2]", "spark://host:7077"):
-        assert scratch_dir(FakeSession(master), "x").startswith("hdfs://lake/warehouse/_scratch/x-")
+        for _ in range(2):
+            assert scratch_dir(FakeSession(master), "x").startswith(f"hdfs://lake/warehouse/_scratch/tickloom-{master}/x-")
+    assert len(made) == 3
+
+
+def test_scratch_goes_with_the_driver(tmp_path):
+    """In a driver of its own: the folder is there while it runs and gone after it."""
+    code = (
+        "from pyspark.sql import SparkSession; from tickloom.session import scratch_dir; import os\n"
+        f"spark = SparkSession.builder.master('local[1]').config('spark.checkpoint.dir', '{tmp_path}').getOrCreate()\n"
+        "path = scratch_dir(spark, 'x'); spark.range(3).write.parquet(path)\n"
+        "assert os.path.isdir(path) and spark.read.parquet(path).count() == 3"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, cwd=Path(__file__).resolve().parents[1])
+    # Spark's process ends a little after Python's.
+    until = time.monotonic() + 30
+    while list(tmp_path.glob("tickloom-*")) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not list(tmp_path.glob("tickloom-*"))

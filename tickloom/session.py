@@ -46,11 +46,27 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
     It lies under ``spark.checkpoint.dir``. A session that names none gets it
-    under the warehouse, the other folder that a cluster's executors share.
+    under the warehouse, the other folder that a cluster's executors share. All
+    folders of an application are in one that goes when its driver ends.
     """
     root = (
         spark.conf.get("spark.checkpoint.dir", None)
         or spark.sparkContext.getCheckpointDir()
         or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     )
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    own = f"{root.rstrip('/')}/tickloom-{spark.sparkContext.applicationId}"
+    if own not in _made:
+        make_until_exit(spark, own)
+        _made.add(own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
+
+
+_made: set[str] = set()
+
+
+def make_until_exit(spark: SparkSession, folder: str) -> None:
+    """Make a folder, on whatever file system it is, that is deleted when the driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
