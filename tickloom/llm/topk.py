@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.arrow import column
+from tickloom.llm.tables import partitions
 
 K = 5
 VECTOR_BLOCK = 8192
@@ -176,7 +177,9 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = K) -> DataFrame:
     # A vector goes to every block of queries, a query to every block of vectors.
     offered = whole.select("vec_id", "v", block.alias("b"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(asking - 1).cast("bigint"))).alias("q"), F.lit(False).alias("asks"))
     asked = whole.where(F.col("vec_id") % every == 0).select("vec_id", "v", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("b"), group.alias("q"), F.lit(True).alias("asks"))
-    paired = offered.unionByName(asked).repartition(blocks * asking, "q", "b").sortWithinPartitions("q", "b")
+    # A task works pair by pair, so there need not be one for each.
+    tasks = min(blocks * asking, 8 * partitions(vectors.sparkSession))
+    paired = offered.unionByName(asked).repartition(tasks, "q", "b").sortWithinPartitions("q", "b")
     local = _pairs(paired, k)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return local.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
