@@ -8,7 +8,7 @@
    out pairs that cannot be, and a spanning forest of the rest is kept, as only
    what is connected matters for step 4. Connected documents are a *cluster*.
 4. Each cluster's sets come together and are compared exactly. Pairs that are in
-   one component already are passed over. Clusters beyond ``BLOCK`` documents are
+   one component already are passed over. Clusters beyond a block's size are
    dealt into blocks, and every pair of blocks is a task of its own.
 5. The components of the exact links are the result.
 
@@ -40,7 +40,8 @@ SHIP_KEYS = 1 << 19
 THIN = 8
 # Meetings of more documents than this are linked to the first one without a sketch check.
 WIDE = 1024
-BLOCK = 2048
+# Documents and elements of a block, about; blocks are compared two at a time.
+BLOCK, BLOCK_ELEMENTS = 2048, 300_000
 # Bins of the sketches that are shipped; a count that is cut at 255 can only bring two sketches closer.
 SKETCH = 64
 KEY_BYTES = 5
@@ -344,8 +345,9 @@ def join_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     )
     clusters = written(components(_plausible(meetings, threshold, n)), "clusters")
 
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
-    blocks = F.expr(f"cast(ceil(size / {BLOCK}) as int)")
+    weighed = clusters.join(known.select(F.col("doc_id").alias("node"), "n_shingles"), "node")
+    sizes = weighed.groupBy("component").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("elements"))
+    blocks = F.expr(f"cast(greatest(ceil(size / {BLOCK}), ceil(elements / {BLOCK_ELEMENTS})) as int)")
     placed = clusters.join(sizes, "component").select(
         F.col("node").alias("doc_id"), F.col("component").alias("cluster"), blocks.alias("blocks"),
         F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),

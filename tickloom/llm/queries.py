@@ -16,10 +16,9 @@ from tickloom.llm.packing import pack
 from tickloom.llm.preferences import preference_pairs, swapped_last_answers
 from tickloom.llm.sharding import interleave
 from tickloom.llm.suffix_dedup import remove_repeats
-from tickloom.llm.tables import table
+from tickloom.llm.tables import prepare, table
 from tickloom.llm.topk import top_k
 from tickloom.llm.warc import round_trip
-from tickloom.session import prepare_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,6 +142,6 @@ ORACLES: dict[str, str] = {
 
 def catalogue() -> dict[str, Query]:
     def ready(query: Query) -> Query:
-        return lambda spark, folder: query(prepare_session(spark), folder)
+        return lambda spark, folder: query(prepare(spark), folder)
 
     return {name: ready(query) for name, query in QUERIES.items()}

@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.session import scratch_dir
+from tickloom.session import prepare_session, scratch_dir
+
+# Rows that travel to a Python task at once. Texts are kilobytes, so Spark's default would hold many megabytes.
+ROWS_PER_BATCH = "1000"
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """The session options of the flow, and smaller batches for rows that carry texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    return prepare_session(spark)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
