@@ -40,6 +40,8 @@ from tickloom.llm.tables import partitions, written
 MATCH, GRAM = 100, 48
 # Phrases held by a task before they are shipped.
 SHIP = 1 << 19
+# Findings of a task packed together.
+GATHER = 1 << 19
 # Suffixes sorted together.
 SORTED = 1 << 17
 # A trigger with more different phrases than this is settled window by window.
@@ -109,6 +111,25 @@ def _found(what: int, doc, tag, start, count, buckets: int, key=None) -> Iterato
         )
 
 
+def _gathered(findings: Iterator[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Findings ``what, doc, tag, start, count[, key]`` packed together, ``GATHER`` at a time."""
+    held: dict[int, list[tuple]] = {}
+    size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for what, parts in held.items():
+            columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+            yield from _found(what, *columns[:4], buckets, key=columns[4] if len(columns) > 4 else None)
+
+    for what, *columns in findings:
+        held.setdefault(what, []).append(tuple(columns))
+        size += len(columns[0])
+        if size >= GATHER:
+            yield from flush()
+            held, size = {}, 0
+    yield from flush()
+
+
 # --- steps 1 and 2 ------------------------------------------------------------------------
 
 SHIPPED = "bucket int, docs binary, tags binary, held binary, triggers binary, contents binary, starts binary, counts binary, covered binary"
@@ -175,30 +196,29 @@ def _ship(docs: DataFrame, match: int, gram: int, buckets: int) -> DataFrame:
 def _dictionary(shipped: DataFrame, n: int, buckets: int) -> DataFrame:
     """Findings: occurrences that repeat an earlier phrase, and phrases whose windows have to be compared."""
 
-    def settle(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def settle(parts: list[tuple]) -> Iterator[tuple]:
         """The findings of one bucket of triggers."""
         doc, tag, start, count, trigger, content = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((start, doc, content, trigger))
         doc, tag, start, count, trigger, content = (x[order] for x in (doc, tag, start, count, trigger, content))
         entries = _runs(trigger, content)
         later = _later(entries, doc, start)
-        yield from _found(COVER, doc[later], tag[later], start[later], count[later], buckets)
+        yield COVER, doc[later], tag[later], start[later], count[later]
         begins = _runs(trigger)
         different = np.diff(np.r_[np.searchsorted(entries, begins), len(entries)])
         different = np.repeat(different, np.diff(np.r_[begins, len(trigger)]))
         for what, wanted in ((ASK, (different > 1) & (different <= HOT)), (ASK_HOT, different > HOT)):
             ask = ~later & wanted
-            yield from _found(what, doc[ask], tag[ask], start[ask], count[ask], buckets, key=trigger[ask])
+            yield what, doc[ask], tag[ask], start[ask], count[ask], trigger[ask]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def findings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         parts: list[tuple] = []
         last = None
         for batch in batches:
             for row in zip(*(column(batch, part.split()[0]).to_pylist() for part in SHIPPED.split(", ")), strict=True):
                 bucket, docs, tags, held, triggers, contents, starts, counts, covered = row
                 if covered:
-                    doc, tag, start, count = np.frombuffer(covered, "<i8").reshape(4, -1)
-                    yield from _found(COVER, doc, tag, start, count, buckets)
+                    yield COVER, *np.frombuffer(covered, "<i8").reshape(4, -1)
                     continue
                 if parts and bucket != last:
                     yield from settle(parts)
@@ -216,6 +236,9 @@ def _dictionary(shipped: DataFrame, n: int, buckets: int) -> DataFrame:
         if parts:
             yield from settle(parts)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _gathered(findings(batches), buckets)
+
     return shipped.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
 
 
@@ -366,18 +389,18 @@ def suffix_repeats(key, doc, start, count, content: bytes, match: int) -> Iterat
 
 
 def _compare(sent: DataFrame, match: int, n: int, buckets: int) -> DataFrame:
-    def settle(kind: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def settle(kind: int, rows: list[tuple]) -> Iterator[tuple]:
         """The findings of one bucket and kind."""
         key, doc, tag, start, count, content = (np.concatenate(x) for x in zip(*rows, strict=True))
         tag, count = tag.astype(np.int64), count.astype(np.int64)
         if kind == 2:
-            yield from _found(COVER, doc, tag, start, count, buckets)
+            yield COVER, doc, tag, start, count
         elif kind == 1:
             second = content.view("<u8")
             order = np.lexsort((start, doc, second, key))
             key, second, doc, tag, start, count = (x[order] for x in (key, second, doc, tag, start, count))
             later = _later(_runs(key, second), doc, start)
-            yield from _found(COVER, doc[later], tag[later], start[later], count[later], buckets)
+            yield COVER, doc[later], tag[later], start[later], count[later]
         else:
             begins = np.cumsum(np.r_[0, count + match - 1])
             order = np.lexsort((start, doc, key))
@@ -385,9 +408,9 @@ def _compare(sent: DataFrame, match: int, n: int, buckets: int) -> DataFrame:
             content = b"".join([raw[begins[i] : begins[i + 1]] for i in order.tolist()])
             key, doc, tag, start, count = (x[order] for x in (key, doc, tag, start, count))
             for row, place in suffix_repeats(key, doc, start, count, content, match):
-                yield from _found(COVER, doc[row], tag[row], start[row] + place, np.ones(len(row), np.int64), buckets)
+                yield COVER, doc[row], tag[row], start[row] + place, np.ones(len(row), np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def findings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         rows: list[tuple] = []
         last = None
         for batch in batches:
@@ -400,6 +423,9 @@ def _compare(sent: DataFrame, match: int, n: int, buckets: int) -> DataFrame:
         if rows:
             yield from settle(last[1], rows)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _gathered(findings(batches), buckets)
+
     return sent.repartition(n, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, FOUND)
 
 
@@ -474,7 +500,7 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM, whole_
     ``carry``, whatever their names; an empty table gives an empty result.
     """
     n = partitions(docs.sparkSession)
-    buckets = 8 * n + 1
+    buckets = 2 * n + 1
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("place"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
