@@ -42,8 +42,9 @@ THIN = 8
 WIDE = 1024
 # Documents and elements of a block, about; blocks are compared two at a time.
 BLOCK, BLOCK_ELEMENTS = 2048, 300_000
-# Bins of the sketches that are shipped; a count that is cut at 255 can only bring two sketches closer.
-SKETCH = 64
+# Bins of the sketches that are shipped: about one for eight elements, so that those of unrelated sets differ by
+# more than the threshold allows, whatever their size. A count that is cut at 255 can only bring two sketches closer.
+BINS = (64, 1024)
 KEY_BYTES = 5
 
 
@@ -54,6 +55,16 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield batch.slice(first, last - first), data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
 
 
+def _bins(size: int) -> int:
+    return min(max(1 << (size // 8).bit_length(), BINS[0]), BINS[1])
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches brought to the fewest bins among them: the bin of an element is given by its lowest bits."""
+    bins = min(map(len, sketches))
+    return np.stack([np.minimum(np.frombuffer(s, np.uint8).reshape(-1, bins).sum(0, dtype=np.int32), 255) for s in sketches])
+
+
 def document_sets(docs: DataFrame, words: int) -> DataFrame:
     """``doc_id, n_shingles, set_id, sketch``; ``set_id`` (null for an empty set) names the set by 128 bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +76,7 @@ def document_sets(docs: DataFrame, words: int) -> DataFrame:
                     column(batch, "doc_id").cast(pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(names, pa.binary()),
-                    pa.array([np.minimum(sketch(s, SKETCH), 255).astype(np.uint8).tobytes() for s in sets], pa.binary()),
+                    pa.array([np.minimum(sketch(s, _bins(len(s))), 255).astype(np.uint8).tobytes() for s in sets], pa.binary()),
                 ],
                 ["doc_id", "n_shingles", "set_id", "sketch"],
             )
@@ -233,7 +244,7 @@ def _plausible(meetings: DataFrame, threshold: int, n: int) -> DataFrame:
                 b += ids[1:].tolist()
             else:
                 sizes = table.column("n_shingles").to_numpy()[at]
-                marks = np.stack([np.frombuffer(v, np.uint8) for v in table.column("sketch").take(pa.array(at)).to_pylist()]).astype(np.int32)
+                marks = _folded(table.column("sketch").take(pa.array(at)).to_pylist())
                 root = np.arange(len(ids))
                 for i in range(len(ids) - 1):
                     others = np.flatnonzero(root != root[i])
