@@ -72,6 +72,21 @@ def test_large_groups(spark):
     assert got == brute.components(rows, 3, 90)
 
 
+def test_thinned_keys_across_chunks(spark):
+    """A passage that many documents of two chunks share; a linked pair is hidden behind the first documents of its keys."""
+
+    def own(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    rng = random.Random(3)
+    passage = own(1052)
+    rows = {100 * chunk + i: f"{passage} {own(140 if i < 60 else 40)}" for chunk in (0, 1) for i in range(61)}
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows.items()], SCHEMA).repartitionByRange(2, "doc_id").sortWithinPartitions("doc_id")
+    got = {r.doc_id: r.component_id for r in join_components(docs, 3, 90).collect()}
+    expected = {doc: component for doc, (_, component) in brute.components(rows, 3, 90).items()}
+    assert got == expected and expected[160] == 60
+
+
 def test_defined_cases(spark):
     rows = [(None, "a b c d", "x"), (7, "a b c d", "x"), (7, "a b c d", "x"), (9, "a b c d", "x"), (8, None, "x"), (6, "", "x")]
     got = sorted(map(tuple, join_components(spark.createDataFrame(rows, SCHEMA), 3, 90).collect()), key=str)

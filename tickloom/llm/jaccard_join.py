@@ -14,7 +14,9 @@
 
 A key that very many documents share is thinned out where it arises: within a
 chunk of a task its documents are linked to the first one without a check, and
-only that one is shipped. Such links can only make clusters larger, step 4 decides.
+only that one is shipped, marked: what it meets under the key is linked without a
+check too, as it may be similar to a document that was not shipped. Such links can
+only make clusters larger, step 4 decides.
 """
 
 from __future__ import annotations
@@ -85,31 +87,33 @@ def document_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _shipments(docs: DataFrame, words: int, threshold: int, buckets: int) -> DataFrame:
-    """Packed keys: ``bucket``, its ``docs`` with the number of their keys, the ``keys``; ``stars`` are links made here."""
+    """Packed keys: ``bucket``, its ``docs`` with the number of their keys, the ``keys``, a bit for each that was ``thinned``; ``stars`` are links made here."""
 
-    def pack(ids: list[int], keys: list[np.ndarray], stars: list[np.ndarray]) -> pa.RecordBatch:
+    def pack(ids: list[int], keys: list[np.ndarray], marks: list[np.ndarray], stars: list[np.ndarray]) -> pa.RecordBatch:
         owner = np.repeat(np.arange(len(ids)), [len(k) for k in keys])
         flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+        mark = np.concatenate(marks) if marks else np.zeros(0, bool)
         bucket = (flat % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        flat, owner, bucket = flat[order], owner[order], bucket[order]
+        flat, owner, mark, bucket = flat[order], owner[order], mark[order], bucket[order]
         rest = np.ascontiguousarray((flat // np.uint64(buckets)).astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
         names = np.asarray(ids, np.int64)
         out: list[tuple] = []
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
         for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)][: len(starts)], strict=True):
             held, counts = np.unique(owner[first:last], return_counts=True)
-            out.append((int(bucket[first]), names[held].tobytes(), counts.astype(np.int32).tobytes(), rest[first:last].tobytes(), b""))
+            out.append((int(bucket[first]), names[held].tobytes(), counts.astype(np.int32).tobytes(), rest[first:last].tobytes(), np.packbits(mark[first:last]).tobytes(), b""))
         if stars:
-            out.append((len(out) % buckets, b"", b"", b"", np.unique(np.concatenate(stars), axis=0).tobytes()))
+            out.append((len(out) % buckets, b"", b"", b"", b"", np.unique(np.concatenate(stars), axis=0).tobytes()))
         return pa.RecordBatch.from_arrays(
-            [pa.array([row[0] for row in out], pa.int32()), *(pa.array([row[i] for row in out], pa.binary()) for i in range(1, 5))],
-            ["bucket", "docs", "counts", "keys", "stars"],
+            [pa.array([row[0] for row in out], pa.int32()), *(pa.array([row[i] for row in out], pa.binary()) for i in range(1, 6))],
+            ["bucket", "docs", "counts", "keys", "thinned", "stars"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
         keys: list[np.ndarray] = []
+        marks: list[np.ndarray] = []
         stars: list[np.ndarray] = []
         held = 0
         for batch, data, offsets in _chunks(batches):
@@ -130,25 +134,27 @@ def _shipments(docs: DataFrame, words: int, threshold: int, buckets: int) -> Dat
             order = np.argsort(flat, kind="stable")
             starts = np.flatnonzero(np.r_[True, flat[order][1:] != flat[order][:-1]]) if len(flat) else np.zeros(0, np.int64)
             counts = np.diff(np.r_[starts, len(flat)])
-            keep = np.ones(len(flat), bool)
+            keep, mark = np.ones(len(flat), bool), np.zeros(len(flat), bool)
             names = np.asarray(fresh, np.int64)
             for at in np.flatnonzero(counts > THIN):
                 places = order[starts[at] : starts[at] + counts[at]]
                 keep[places[1:]] = False
+                mark[places[0]] = True
                 stars.append(np.stack([np.full(len(places) - 1, names[owner[places[0]]]), names[owner[places[1:]]]], 1))
             if stars:
                 stars = [np.unique(np.concatenate(stars), axis=0)]
             ids += fresh
             ends = np.cumsum([len(k) for k in some])
             keys += [k[keep[e - len(k) : e]] for k, e in zip(some, ends, strict=True)]
+            marks += [mark[e - len(k) : e][keep[e - len(k) : e]] for k, e in zip(some, ends, strict=True)]
             held += int(keep.sum())
             if held >= SHIP_KEYS:
-                yield pack(ids, keys, stars)
-                ids, keys, stars, held = [], [], [], 0
+                yield pack(ids, keys, marks, stars)
+                ids, keys, marks, stars, held = [], [], [], [], 0
         if ids:
-            yield pack(ids, keys, stars)
+            yield pack(ids, keys, marks, stars)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, docs binary, counts binary, keys binary, stars binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, docs binary, counts binary, keys binary, thinned binary, stars binary")
 
 
 def _meetings(shipments: DataFrame, n: int) -> DataFrame:
@@ -159,7 +165,7 @@ def _meetings(shipments: DataFrame, n: int) -> DataFrame:
     """
 
     def meet(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        """The meetings of one bucket, from its packs ``docs, counts, keys, stars``."""
+        """The meetings of one bucket, from its packs ``docs, counts, keys, thinned, stars``."""
         docs = np.concatenate([np.frombuffer(row[0], np.int64) for row in rows])
         doc = np.repeat(docs, np.concatenate([np.frombuffer(row[1], np.int32) for row in rows]))
         raw = np.concatenate([np.frombuffer(row[2], np.uint8) for row in rows]).reshape(-1, KEY_BYTES)
@@ -167,18 +173,23 @@ def _meetings(shipments: DataFrame, n: int) -> DataFrame:
         wide[:, :KEY_BYTES] = raw
         key = wide.view("<u8").ravel()
         order = np.argsort(key, kind="stable")
-        key, doc = key[order], doc[order]
+        thinned = np.concatenate([np.unpackbits(np.frombuffer(row[3], np.uint8), count=len(row[2]) // KEY_BYTES) for row in rows]).astype(bool)
+        key, doc, thinned = key[order], doc[order], thinned[order]
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
         sizes = np.diff(np.r_[starts, len(key)])
-        links = [np.frombuffer(row[3], np.int64).reshape(-1, 2) for row in rows]
-        seen: set[bytes] = set()
+        links = [np.frombuffer(row[4], np.int64).reshape(-1, 2) for row in rows]
+        hides = np.logical_or.reduceat(thinned, starts) if len(key) else np.zeros(0, bool)
+        seen: tuple[set[bytes], set[bytes]] = set(), set()
         lists: list[np.ndarray] = []
         for at in np.flatnonzero(sizes > 1):
             members = np.unique(doc[starts[at] : starts[at] + sizes[at]])
-            if len(members) > WIDE:
+            unchecked = bool(hides[at]) or len(members) > WIDE
+            if len(members) < 2 or (name := members.tobytes()) in seen[unchecked]:
+                continue
+            seen[unchecked].add(name)
+            if unchecked:
                 links.append(np.stack([np.full(len(members) - 1, members[0]), members[1:]], 1))
-            elif len(members) > 1 and (name := members.tobytes()) not in seen:
-                seen.add(name)
+            else:
                 lists.append(members)
         sure = [*np.unique(np.concatenate(links), axis=0)]
         for some, flag in ((lists, False), (sure, True)):
@@ -195,7 +206,7 @@ def _meetings(shipments: DataFrame, n: int) -> DataFrame:
         held: list[tuple] = []
         last = None
         for batch in batches:
-            for bucket, *pack in zip(*(column(batch, c).to_pylist() for c in ("bucket", "docs", "counts", "keys", "stars")), strict=True):
+            for bucket, *pack in zip(*(column(batch, c).to_pylist() for c in ("bucket", "docs", "counts", "keys", "thinned", "stars")), strict=True):
                 if held and bucket != last:
                     yield from meet(held)
                     held = []
