@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from tickloom.llm.language_id import document_evidence, fit, identify, page_evidence
@@ -26,6 +28,26 @@ def test_other_evidence_decides_where_the_text_does_not(spark):
     assert all(0.99 < got[i].posterior for i in (0, 100))
 
 
+def test_rare_labels_unseen_languages_and_junk(spark):
+    """A label of one in a thousand rows is found; what fits no label is rejected, with several labels and with one."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source").cache()
+    german = docs.where("lang = 'de'").orderBy("doc_id").limit(8)
+    many = docs.where("lang = 'en'").crossJoin(spark.range(10)).select("text", F.col("lang").alias("label"))
+    training = many.unionByName(docs.where("lang = 'fr'").select("text", F.col("lang").alias("label"))).unionByName(german.select("text", F.col("lang").alias("label")))
+    rng = random.Random(4)
+    junk = spark.createDataFrame([(10**6 + i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(600)), "junk", "s") for i in range(60)], docs.schema)
+
+    def judged(model):
+        rows = identify(document_evidence(docs.unionByName(junk)), model).join(docs.unionByName(junk).select("doc_id", "lang"), "doc_id")
+        return {r.lang: (r.right, r.accepted) for r in rows.groupBy("lang").agg(F.avg((F.col("language") == F.col("lang")).cast("double")).alias("right"), F.avg(F.col("accepted").cast("double")).alias("accepted")).collect()}
+
+    some = judged(fit(training))
+    assert min(*(some[x][0] for x in ("en", "fr", "de")), *(some[x][1] for x in ("en", "fr", "de"))) > 0.95, some
+    assert max(some["es"][1], some["junk"][1]) < 0.1, some
+    one = judged(fit(docs.where("lang = 'fr'").select("text", F.col("lang").alias("label"))))
+    assert one["fr"][1] > 0.95 and max(one[x][1] for x in ("en", "de", "es", "junk")) < 0.1, one
+
+
 def test_defined_cases(spark):
     rows = spark.createDataFrame([(1, None, None, None, None, None, "x"), (None, "abc", "en", None, "h", None, "x")] * 2, ROWS)
     nothing = fit(spark.createDataFrame([(None, "en"), ("abc", None)], "text string, label string"))

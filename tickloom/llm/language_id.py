@@ -1,8 +1,9 @@
 """Language of texts from several kinds of evidence, fused by Bayes' rule.
 
 * *Text*: a naive Bayes model of hashed byte trigrams of the letters, fitted on
-  all labelled texts by grouped aggregation (counts per label and gram, a table of
-  fixed size).
+  all labelled texts by grouped aggregation (counts per label and gram, a row per
+  label). One more hypothesis is that the text is of *none* of the labels: its
+  letters follow each other without any rule, each as often as in all labelled texts.
 * *Declared markup language* and *address suffix*: how often each value goes with
   each language, counted over all rows by the text's own verdict, smoothed.
 * *Host*: a prior per host, smoothed towards its domain's, and that towards all
@@ -25,9 +26,11 @@ from tickloom.llm.arrow import column, packed, slices
 from tickloom.llm.tables import written
 
 GRAM_BITS = 14
-# Labels that at least this share of the labelled texts carry; so there are never more than 1 / LABEL_SHARE.
-LABEL_SHARE = 0.002
-# Counts added to each gram; grams a text counts for at most (they overlap and repeat, so they are no independent evidence).
+# Labels whose counts a task holds before it hands them on.
+HELD_LABELS = 128
+# Chance beforehand that a text is of none of the labels, against one for each label; share of its letters that are any byte.
+NONE_PRIOR, ANY_BYTE = 0.01, 0.02
+# Counts added for each gram, dealt out as the background has the grams; grams a text counts for at most (they overlap and repeat, so they are no independent evidence).
 GRAM_SMOOTHING, TEXT_WEIGHT, TEXT_GRAMS = 0.5, 0.3, 400.0
 # Rows that a level of the host hierarchy, or a declared value or suffix, counts as having beforehand.
 PRIOR_ROWS, VALUE_ROWS = 20.0, 5.0
@@ -58,55 +61,89 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nd
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
 
 
+def _background(letters: np.ndarray) -> np.ndarray:
+    """Share of each hashed gram if every byte came by itself, as often as in ``letters`` (counts per byte)."""
+    symbols = np.r_[32, np.unique(_LOWER[_LETTER])]
+    counts = letters[symbols] / max(letters.sum(), 1)
+    share = (1 - ANY_BYTE) * counts + ANY_BYTE / len(symbols) if letters.sum() else np.full(len(symbols), 1 / len(symbols))
+    out = np.zeros(1 << GRAM_BITS)
+    second, third = (x.ravel() for x in np.meshgrid(np.arange(len(symbols)), np.arange(len(symbols)), indexing="ij"))
+    for first, symbol in enumerate(symbols):
+        whole = ((symbol != 32) | (second != 0)) & ((second != 0) | (third != 0))
+        y, z = second[whole], third[whole]
+        gram = (np.uint32(symbol) << np.uint32(16)) | (symbols[y].astype(np.uint32) << np.uint32(8)) | symbols[z].astype(np.uint32)
+        place = (gram * np.uint32(2654435761)) >> np.uint32(32 - GRAM_BITS)
+        out += np.bincount(place.astype(np.int64), share[first] * share[y] * share[z], minlength=len(out))
+    return out / out.sum()
+
+
 class Model:
-    """``labels`` and the logarithm of each label's share of each gram."""
+    """``labels`` and the logarithm of each label's share of each gram; the last row of ``table`` is that of no label."""
 
-    def __init__(self, labels: list[str], counts: np.ndarray):
+    def __init__(self, labels: list[str], counts: np.ndarray, letters: np.ndarray):
         self.labels = labels
-        smoothed = counts + GRAM_SMOOTHING
-        self.table = np.log(smoothed / smoothed.sum(1, keepdims=True)).astype(np.float32) if labels else np.zeros((0, 1 << GRAM_BITS), np.float32)
+        background = _background(letters)
+        self.table = np.zeros((len(labels) + 1, len(background)), np.float32)
+        for i, n in enumerate(counts):
+            self.table[i] = np.log((n + GRAM_SMOOTHING * len(background) * background) / (n.sum() + GRAM_SMOOTHING * len(background)))
+        self.table[-1] = np.log(background)
 
 
 def fit(labelled: DataFrame) -> Model:
-    """From rows ``text, label``: counts per label and gram over all of them.
+    """From rows ``text, label``: counts per label and gram over all of them, and per byte.
 
     Each task adds up its own counts, so what is shuffled and what the driver
-    takes is bounded by the number of labels, not of texts.
+    takes is bounded by the number of labels, not of texts. Every label is kept,
+    however rare; labels are languages, and the model holds 64 KB for each.
     """
     rows = labelled.where("label is not null and text is not null")
-    shares = rows.groupBy("label").count()
-    total = rows.count()
-    labels = sorted(r.label for r in shares.where(F.col("count") >= LABEL_SHARE * total).collect())
-    number = {label: i for i, label in enumerate(labels)}
+    labels = sorted(r.label for r in rows.select("label").distinct().collect())
+    grams = 1 << GRAM_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((len(labels), 1 << GRAM_BITS), np.int64)
+        totals: dict[str, np.ndarray] = {}
+        letters = np.zeros(256, np.int64)
+
+        def rows_of(label: str | None, n: np.ndarray) -> pa.RecordBatch:
+            held = np.flatnonzero(n)
+            return pa.RecordBatch.from_arrays([pa.array([label] * len(held), pa.string()), pa.array(held, pa.int32()), pa.array(n[held], pa.int64())], ["label", "gram", "n"])
+
         for batch in batches:
-            known = np.array([number.get(label, -1) for label in column(batch, "label").to_pylist()], np.int64)
+            carried = column(batch, "label").to_pylist()
             for first, last, data, offsets in _chunks(batch):
+                letters += np.bincount(np.where(_LETTER[data], _LOWER[data], np.uint8(32)), minlength=256)
                 gram, text = _grams(data, offsets)
-                own = known[first:last][text]
-                gram, own = gram[own >= 0], own[own >= 0]
-                totals += np.bincount(own * (1 << GRAM_BITS) + gram, minlength=totals.size).reshape(totals.shape)
-        for i in range(len(labels)):
-            held = np.flatnonzero(totals[i])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(held), i), pa.int32()), pa.array(held, pa.int32()), pa.array(totals[i][held], pa.int64())], ["label", "gram", "n"])
-
-    table = np.zeros((len(labels), 1 << GRAM_BITS))
+                here = sorted(set(carried[first:last]))
+                number = {label: i for i, label in enumerate(here)}
+                own = np.array([number[label] for label in carried[first:last]], np.int32)[text]
+                gram = gram[np.argsort(own, kind="stable")]
+                ends = np.cumsum(np.bincount(own, minlength=len(here)))
+                for label, part in zip(here, np.split(gram, ends[:-1]), strict=True):
+                    if label not in totals and len(totals) >= HELD_LABELS:
+                        yield from (rows_of(*item) for item in totals.items())
+                        totals = {}
+                    totals[label] = totals.get(label, 0) + np.bincount(part, minlength=grams)
+        yield from (rows_of(*item) for item in totals.items())
+        yield rows_of(None, letters)
+
+    table, letters = np.zeros((len(labels), grams), np.float32), np.zeros(256)
     if labels:
-        counted = rows.select("text", "label").mapInArrow(count, "label int, gram int, n bigint").groupBy("label", "gram").agg(F.sum("n").alias("n"))
+        counted = rows.select("text", "label").mapInArrow(count, "label string, gram int, n bigint").groupBy("label", "gram").agg(F.sum("n").alias("n"))
         found = counted.toPandas()
-        table[found["label"].to_numpy(np.int64), found["gram"].to_numpy(np.int64)] = found["n"]
-    return Model(labels, table)
+        none = found["label"].isna().to_numpy()
+        letters[found["gram"].to_numpy(np.int64)[none]] = found["n"].to_numpy()[none]
+        place = {label: i for i, label in enumerate(labels)}
+        table[[place[label] for label in found["label"][~none]], found["gram"].to_numpy(np.int64)[~none]] = found["n"].to_numpy()[~none]
+    return Model(labels, table, letters)
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
-    """Replaces ``text`` by ``grams``, their number, and ``likelihoods``, the text's log-likelihood per label."""
+    """Replaces ``text`` by ``grams``, their number, and ``likelihoods``, the text's log-likelihood per label and, last, for none of them."""
     kept = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams, likelihoods = np.zeros(batch.num_rows, np.int64), np.zeros((batch.num_rows, len(model.labels)))
+            grams, likelihoods = np.zeros(batch.num_rows, np.int64), np.zeros((batch.num_rows, len(model.table)))
             for first, last, data, offsets in _chunks(batch):
                 gram, text = _grams(data, offsets)
                 n = last - first
@@ -114,7 +151,9 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
                 for i, logs in enumerate(model.table):
                     likelihoods[first:last, i] = np.bincount(text, logs[gram], minlength=n)
             counted = np.minimum(grams, TEXT_GRAMS) / np.maximum(grams, 1)
-            values = pa.array((likelihoods * (TEXT_WEIGHT * counted)[:, None]).tolist(), pa.list_(pa.float64()))
+            likelihoods *= (TEXT_WEIGHT * counted)[:, None]
+            likelihoods[:, -1] += np.log(NONE_PRIOR)
+            values = pa.array(likelihoods.tolist(), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in kept), pa.array(grams), values], [*kept, "grams", "likelihoods"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
@@ -128,7 +167,7 @@ def _normal(logs: Column) -> Column:
 
 
 def _sums(rows: DataFrame, key: list[str], labels: int, name: str) -> DataFrame:
-    sums = F.array(*[F.sum(F.col("own")[i]) for i in range(labels)]) if labels else F.array().cast("array<double>")
+    sums = F.array(*[F.sum(F.col("own")[i]) for i in range(labels)])
     return rows.groupBy(*key).agg(sums.alias(name))
 
 
@@ -137,21 +176,21 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
 
     Evidence that is null is left out; a row without host has the prior of all
     rows. ``accepted`` is false where the text has no letters, or no language
-    reaches ``LEAST_POSTERIOR``.
+    reaches ``LEAST_POSTERIOR`` against the others and none of them together.
 
     Defined cases: a null or empty text is not accepted, its language is the most
     probable one by the other evidence; a tie goes to the first label in
     alphabetical order; without any label the language is null and nothing is
     accepted; repeated rows count as often as they are there; further columns stay.
     """
-    labels = len(model.labels)
+    labels = len(model.labels) + 1  # the last one is none of them
     scored = written(score(rows, model), "scores")
     kept = [c for c in scored.columns if c not in ("grams", "likelihoods")]
     own = scored.withColumn("own", _normal(F.col("likelihoods")))
-    everything = _sums(own, [], labels, "sums").first()["sums"] or []
+    everything = _sums(own, [], labels, "sums").first()["sums"]
     overall = np.asarray([x or 0.0 for x in everything]) + 1.0
-    base = F.array(*[F.lit(float(x)) for x in overall / overall.sum()]) if labels else F.array().cast("array<double>")
-    weights = F.array(*[F.lit(float(x)) for x in overall]) if labels else F.array().cast("array<double>")
+    base = F.array(*[F.lit(float(x)) for x in overall / overall.sum()])
+    weights = F.array(*[F.lit(float(x)) for x in overall])
 
     joined = own
     for key in ("declared", "suffix", "domain", "host"):
@@ -167,7 +206,7 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
 
     def value(sums: Column) -> Column:
         """Logarithm of the share of a language's rows that carry the value (up to a factor common to all)."""
-        smooth = F.zip_with(F.zip_with(sums, F.col("own"), lambda n, x: F.greatest(n - x, F.lit(0.0))), weights, lambda n, w: F.log((n + VALUE_ROWS * w / F.lit(float(overall.sum() or 1))) / w))
+        smooth = F.zip_with(F.zip_with(sums, F.col("own"), lambda n, x: F.greatest(n - x, F.lit(0.0))), weights, lambda n, w: F.log((n + VALUE_ROWS * w / F.lit(float(overall.sum()))) / w))
         return F.when(sums.isNull(), F.transform(weights, lambda _: F.lit(0.0))).otherwise(smooth)
 
     def plus(a: Column, b: Column) -> Column:
@@ -175,8 +214,8 @@ def identify(rows: DataFrame, model: Model) -> DataFrame:
 
     prior = joined.withColumn("_over", level(F.col("_domain"), base)).withColumn("_prior", level(F.col("_host"), F.col("_over")))
     logs = plus(plus(F.col("likelihoods"), F.transform("_prior", lambda p: F.log(p))), plus(value(F.col("_declared")), value(F.col("_suffix"))))
-    fused = prior.withColumn("_logs", logs).withColumn("_posteriors", _normal(F.col("_logs")))
-    names = F.array(*[F.lit(label) for label in model.labels]) if labels else F.array().cast("array<string>")
+    fused = prior.withColumn("_logs", logs).withColumn("_posteriors", F.slice(_normal(F.col("_logs")), 1, labels - 1))
+    names = F.array(*[F.lit(label) for label in model.labels]) if model.labels else F.array().cast("array<string>")
     best = F.array_max("_posteriors")
     at = F.array_position("_posteriors", best)
     result = fused.select(
