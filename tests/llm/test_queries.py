@@ -14,7 +14,7 @@ from tickloom.llm.queries import ORACLES, QUERIES, catalogue  # noqa: E402
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert {*QUERIES, "pipeline"} <= driver.queries().keys() and ORACLES.items() <= driver.oracle_sql().items()
 
 

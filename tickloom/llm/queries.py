@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm import pair_index
 from tickloom.llm.byte_bpe import encode_decode
 from tickloom.llm.fingerprints import compare_with_edits
+from tickloom.llm.importance import resample
 from tickloom.llm.jaccard_join import join_components
 from tickloom.llm.language_id import document_evidence, fit, identify, page_evidence
 from tickloom.llm.packing import pack
 from tickloom.llm.preferences import preference_pairs, swapped_last_answers
 from tickloom.llm.sharding import interleave
+from tickloom.llm.spelling import variants
 from tickloom.llm.suffix_dedup import remove_repeats
 from tickloom.llm.tables import prepare, table
 from tickloom.llm.topk import top_k
@@ -77,6 +80,29 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_pair_index_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return pair_index.encode_decode(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return variants(table(spark, folder, "documents"))
+
+
+# Checksums of the rows (text ``w``) of a table, by the bits of their UTF-8 bytes (fixed value: the polynomial).
+def _crc32_sql(of: str) -> str:
+    return f"""
+          SELECT w, xor(4294967295, list_reduce(
+            list_transform(range(octet_length(encode(w))), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i + 1, 2) AS BIGINT)),
+            lambda c, b: list_reduce(range(8), lambda d, k: xor(d >> 1, 3988292384 * (d & 1)), xor(c, b)),
+            4294967295::BIGINT)) AS crc FROM {of}"""
+
+
+_LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -88,6 +114,9 @@ QUERIES: dict[str, Query] = {
     "op7_fingerprints": op7_fingerprints,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
+    "op11_importance": op11_importance,
+    "op12_pair_index_bpe": op12_pair_index_bpe,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {
@@ -137,6 +166,62 @@ ORACLES: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         WHERE rank <= 5""",
+    "op11_importance": f"""
+        WITH texts AS (
+          SELECT doc_id, false AS target, text FROM documents UNION ALL SELECT NULL, true, text FROM benchmark),
+        found AS (
+          SELECT doc_id, target,
+                 regexp_extract_all({_LOWER_SQL.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM texts),
+        features AS (SELECT doc_id, target, unnest(words) AS w FROM found),
+        words AS (SELECT DISTINCT w FROM features),
+        sums AS ({_crc32_sql("words")}),
+        counts AS (
+          SELECT crc % 10000 AS bucket, count(*) FILTER (target) AS t, count(*) FILTER (NOT target) AS s
+          FROM features JOIN sums USING (w) GROUP BY bucket),
+        whole AS (SELECT coalesce(sum(t), 0) AS big_t, coalesce(sum(s), 0) AS big_s FROM counts),
+        gains AS (
+          SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (big_s + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (big_t + 10000)::DOUBLE)))::BIGINT AS gain
+          FROM counts, whole),
+        weights AS (
+          SELECT doc_id, floor(sum(gain)::DOUBLE / count(*)::DOUBLE)::BIGINT AS weight
+          FROM features JOIN sums USING (w) JOIN gains ON bucket = crc % 10000 WHERE NOT target GROUP BY doc_id),
+        scored AS (
+          SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+                 coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+          FROM found LEFT JOIN weights USING (doc_id) WHERE NOT target),
+        ordered AS (
+          SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                 count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM ordered""",
+    "op13_spelling": f"""
+        WITH RECURSIVE runs AS (
+          SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+        low AS (SELECT doc_id, {_LOWER_SQL.format("run")} AS word, count(*) AS n FROM runs GROUP BY ALL),
+        keyed AS (SELECT *, doc_id || ':' || word AS w FROM low),
+        sums AS ({_crc32_sql("keyed")}),
+        slipped AS (
+          SELECT CASE WHEN crc % 199 = 0 THEN substr(word, 1, (crc % length(word))::BIGINT) || substr(word, (crc % length(word))::BIGINT + 2)
+                      ELSE word END AS word, n FROM keyed JOIN sums USING (w)),
+        v AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        cuts AS (
+          SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+          FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+        shorter AS (SELECT DISTINCT c.word AS long, c.n AS long_n, v.word AS short, v.n AS short_n FROM cuts c JOIN v ON v.word = c.rest),
+        near AS (
+          SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+          UNION ALL SELECT long, short, short_n FROM shorter
+          UNION ALL SELECT short, long, long_n FROM shorter),
+        best AS (
+          SELECT word, count(*) AS n_near, min({{'n': -other_n, 'w': encode(other)}}) AS best FROM near GROUP BY word),
+        forms AS (
+          SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near,
+                 CASE WHEN -best.n >= 5 * v.n THEN decode(best.w) END AS form, CASE WHEN -best.n >= 5 * v.n THEN -best.n END AS form_n
+          FROM v LEFT JOIN best ON best.word = v.word),
+        walk AS (
+          SELECT word, word AS root, form AS next FROM forms
+          UNION ALL
+          SELECT walk.word, forms.word, forms.form FROM walk JOIN forms ON forms.word = walk.next)
+        SELECT f.word, form, root, n, n_near, form_n::BIGINT AS form_n FROM forms f JOIN walk w ON w.word = f.word AND w.next IS NULL""",
 }
 
 
@@ -144,4 +229,4 @@ def catalogue() -> dict[str, Query]:
     def ready(query: Query) -> Query:
         return lambda spark, folder: query(prepare(spark), folder)
 
-    return {name: ready(query) for name, query in QUERIES.items()}
+    return {name: ready(query) for name, query in QUERIES.items()}
\ No newline at end of file
