@@ -66,8 +66,9 @@ def portions(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, most: in
     while at < len(data):
         end = min(at + most, len(data))
         while end < len(data) and inside[end] and inside[end - 1] and not first_of[end]:
-            stops = np.flatnonzero(~inside[end : end + most] | first_of[end : end + most])
-            end = end + int(stops[0]) if len(stops) else min(end + most, len(data))
+            upto = min(end + most, len(data))
+            stops = np.flatnonzero(~inside[end:upto] | first_of[end:upto])
+            end = end + int(stops[0]) if len(stops) else upto
         held, fresh = inside[at:end], first_of[at:end]
         before = np.zeros(len(held), bool)
         before[1:] = held[:-1]
