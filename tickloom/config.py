@@ -30,6 +30,13 @@ SYMBOLS = "AAPL,MSFT,AMZN"
 WRITERS_PER_PARTITION = 1
 REJECT_TABLE = "rejected_stream_data"
 REJECT_QUERY = "rejected_stream_data_writer"
+ONE_PASS_QUERY = "one_pass_writer"
+SILENCE_QUERY = "active_span_writer"
+# Under this name the counts of accepted and rejected trades are in a query's progress.
+OUTCOMES = "outcomes"
+# A symbol that has no trade for this long is silent.
+SILENCE = "15 minutes"
+SUMMARY_QUERY = "symbol_summary_writer"
 
 
 @dataclass(frozen=True)
@@ -84,6 +91,12 @@ class TradeFlow:
     keep_null_event_time: bool = False
     # Groups in which the copies of one trade are removed first; see deduplicate.
     copy_fanout: int = 1
+    # Keep the earliest copy of a trade, as a table does, and pass it on behind the watermark; otherwise the
+    # first copy seen, at once. See deduplicate.
+    earliest_copy: bool = False
+    # How far an event time may lie ahead of the arrival, e.g. "1 hour"; None admits any. One trade dated far in
+    # the future moves the watermark past all others.
+    max_ahead: str | None = None
     # Writer tasks that share one (date, symbol) partition of a micro-batch. One keeps files few; more
     # are for streams in which a single symbol is too much for a task.
     writers_per_partition: int = WRITERS_PER_PARTITION

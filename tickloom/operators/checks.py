@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.config import WINDOW_WIDTH
+from tickloom.config import SILENCE, WINDOW_WIDTH
 
 
 def freshness_report(trades: DataFrame, as_of: str | datetime | Column | None = None) -> DataFrame:
@@ -28,6 +28,21 @@ def freshness_report(trades: DataFrame, as_of: str | datetime | Column | None =
     return report.withColumn("age_seconds", F.unix_seconds(now) - _seconds("last_trade"))
 
 
+def active_spans(trades: DataFrame, gap: str = SILENCE) -> DataFrame:
+    """Per symbol the stretches in which no two neighbouring trades are more than ``gap`` apart.
+
+    Between two stretches the symbol was silent. Stretches are merged per task before
+    the shuffle, so a busy symbol sends few rows. In a watermarked stream a stretch
+    is told once, when the watermark is ``gap`` past its last trade: the symbol has been silent since.
+    """
+    spans = trades.groupBy("symbol", F.session_window("trade_timestamp", gap).alias("span")).agg(
+        F.min("trade_timestamp").alias("first_trade"),
+        F.max("trade_timestamp").alias("last_trade"),
+        F.count("*").alias("trade_count"),
+    )
+    return spans.select("symbol", "first_trade", "last_trade", F.col("span.end").alias("silent_at"), "trade_count")
+
+
 def _seconds(column: str) -> Column:
     return F.unix_seconds(F.col(column))
 

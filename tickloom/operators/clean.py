@@ -15,9 +15,9 @@ TRADE_KEYS = ("symbol", "trade_timestamp")
 SURVIVOR_ORDER = ("ingestion_timestamp", "price", "volume", "source")
 
 
-def clean_trades(df: DataFrame, keep_null_event_time: bool = False) -> DataFrame:
+def clean_trades(df: DataFrame, keep_null_event_time: bool = False, max_ahead: str | None = None) -> DataFrame:
     """Accepted trades, typed, with ``trade_date`` from the event time."""
-    trades = accepted(classify(df, keep_null_event_time))
+    trades = accepted(classify(df, keep_null_event_time, max_ahead=max_ahead))
     return with_trade_date(trades)
 
 
@@ -32,20 +32,29 @@ def deduplicate(
     event_time: str = "trade_timestamp",
     survivor_order: Sequence[str] = SURVIVOR_ORDER,
     copy_fanout: int = 1,
+    earliest: bool = False,
 ) -> DataFrame:
     """One row per key.
 
-    A stream keeps the copy it sees first. The event time is part of the key,
-    so the watermark removes keys from the state, and it drops rows that come
-    later than ``watermark_delay``. Where one key may have very many copies in
-    a micro-batch, ``copy_fanout`` > 1 removes copies in that many groups per
-    key first, at the price of a second shuffle and state.
+    A stream keeps the copy it sees first and passes it on at once. The event time
+    is part of the key, so the watermark removes keys from the state, and it drops
+    rows that come later than ``watermark_delay``. Where one key may have very many
+    copies in a micro-batch, ``copy_fanout`` > 1 removes copies in that many groups
+    per key first, at the price of a second shuffle and state.
 
     A table keeps the smallest copy by ``survivor_order``. As an aggregate this
     combines copies before the shuffle: a key that holds a large share of all
     rows leaves each map task as a single row.
+
+    With ``earliest`` a stream keeps the copy that a table keeps, whatever the order
+    of arrival: the smallest copy so far stays in the state, and the row is passed
+    on when the watermark reaches its event time, after which no copy can come. It
+    is the same aggregate, so copies are combined before the shuffle, and there is
+    no use for ``copy_fanout``.
     """
-    if df.isStreaming:
+    if df.isStreaming and earliest:
+        df = df.withWatermark(event_time, watermark_delay)
+    elif df.isStreaming:
         marked = df.withWatermark(event_time, watermark_delay)
         if copy_fanout > 1:
             # Any spread is right, because the second step is exact.
@@ -65,15 +74,17 @@ def clean_and_deduplicate(
     keep_null_event_time: bool = False,
     columns: Sequence[str] | None = None,
     copy_fanout: int = 1,
+    earliest: bool = False,
+    max_ahead: str | None = None,
 ) -> DataFrame:
     """Decoded trades to the rows of the raw table.
 
     With ``columns`` only those, besides the keys and the arrival time, go
     through the shuffle; the copy that stays carries the same values either way.
     """
-    trades = accepted(classify(df, keep_null_event_time))
+    trades = accepted(classify(df, keep_null_event_time, max_ahead=max_ahead))
     if columns is not None:
         needed = {*TRADE_KEYS, *SURVIVOR_ORDER[:3], *columns}
         trades = trades.select(*[name for name in trades.columns if name in needed])
     # The date is added last: it follows from the key and need not be shuffled.
-    return with_trade_date(deduplicate(trades, watermark_delay, copy_fanout=copy_fanout))
+    return with_trade_date(deduplicate(trades, watermark_delay, copy_fanout=copy_fanout, earliest=earliest))

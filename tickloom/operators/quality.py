@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
@@ -63,6 +63,7 @@ def classify(
     keep_null_event_time: bool = False,
     keep_input: bool = False,
     trade_time: Callable[[Column], Column] = to_event_time,
+    max_ahead: str | None = None,
 ) -> DataFrame:
     """Typed trades plus ``reject_reason``: ``symbol``, ``price``, ``volume``, ``time`` or NULL.
 
@@ -73,8 +74,15 @@ def classify(
     message's text included, for dead letters that can be repaired and sent again.
 
     ``keep_null_event_time`` accepts times that are present but unreadable.
+
+    With ``max_ahead`` (an interval such as ``1 hour``) a trade whose event time lies
+    further than that ahead of its arrival is rejected as ``future``: in a stream it
+    would move the watermark past the trades that come after it.
     """
     rules = LITERAL_RULES if keep_null_event_time else RULES
+    if max_ahead is not None:
+        unknown = "trade_timestamp IS NULL OR ingestion_timestamp IS NULL OR " if keep_null_event_time else ""
+        rules = rules | {"future": f"{unknown}trade_timestamp <= ingestion_timestamp + INTERVAL {max_ahead}"}
     keep: tuple[str, ...] = ()
     if "malformed" in df.columns:
         keep = ("malformed",)
@@ -111,6 +119,33 @@ def allow_symbols(df: DataFrame, symbols: list[str]) -> DataFrame:
     return df.where(F.col("symbol").isin(list(symbols)))
 
 
+# Every reason that a trade may be rejected for.
+REASONS = ("json", *RULES, "future")
+
+
+def observe_outcomes(classified: DataFrame, observation: str | Observation) -> DataFrame:
+    """The same rows; their outcomes are counted while something else is done with them.
+
+    Whatever is written from the result brings the counts along: those of a table
+    are in the ``Observation`` after the write, those of a stream in its progress
+    under the name. Nothing is read a second time.
+    """
+    reason = F.col("reject_reason")
+    counts = [F.count_if(reason == name).alias(name) for name in REASONS]
+    return classified.observe(observation, F.count_if(reason.isNull()).alias("accepted"), *counts)
+
+
+def observed_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """What ``observe_outcomes`` counted as rows like those of ``reject_counts``: one per outcome that occurred."""
+    rows = [(outcome, count) for outcome, count in counts.items() if count]
+    return spark.createDataFrame(rows, "outcome string, trade_count bigint")
+
+
+def allow_listed(df: DataFrame, listed: DataFrame) -> DataFrame:
+    """Only the trades whose symbol is in a table of symbols, of any size; its repeated rows do not matter."""
+    return df.join(listed.select("symbol"), "symbol", "left_semi").select(*df.columns)
+
+
 def reject_counts(classified: DataFrame) -> DataFrame:
     """Number of trades per outcome; accepted ones under ``accepted``."""
     outcome = F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")

@@ -2,8 +2,8 @@
 
 Every event becomes a trade of the symbol ``event_type``. The table has no bad
 rows, no copies and no extreme values, so they are put in by rules on the event
-number; the rules add rows or change values, and no event is left out. Everything is computed row
-by row: deriving the messages shuffles nothing.
+number; the rules add rows or change values, and no event is left out. Messages are
+derived row by row, after one exchange that deals the events to tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +20,14 @@ EVENTS_SCHEMA = (
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
+    """The events, dealt to as many tasks as the session has cores.
+
+    A topic has partitions; this table may be one file of one row group, which a
+    single task would turn into messages and decode again. The exchange stands for the
+    topic's partitions and carries the few columns that messages are made of.
+    """
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
+    return events.repartition(spark.sparkContext.defaultParallelism, "event_id")
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,13 +39,18 @@ _ISO = "concat(date_format({time}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
 _K = "get_json_object(props, '$.k')"
 
 
-def wire_columns(events: DataFrame, shift_seconds: int = 0) -> DataFrame:
-    """``event_id`` and the six text columns of a wire trade; every eleventh event is sent twice."""
+def wire_columns(events: DataFrame, shift_seconds: int = 0, replay: int | None = None) -> DataFrame:
+    """``event_id`` and the six text columns of a wire trade; every eleventh event is sent twice.
+
+    ``replay`` picks the first (0) or the second (1) sending.
+    """
     sent = events.selectExpr(
         "*",
         f"ts + make_dt_interval(0, 0, 0, {shift_seconds}) AS time",
         "explode(if(event_id % 11 = 0, array(0, 1), array(0))) AS replay",
     )
+    if replay is not None:
+        sent = sent.where(F.col("replay") == replay)
     arrival = "time + make_dt_interval(0, 0, 0, 1 + 5 * replay)"
     return sent.selectExpr(
         "event_id",
@@ -54,14 +66,26 @@ def wire_columns(events: DataFrame, shift_seconds: int = 0) -> DataFrame:
     )
 
 
-def wire_messages(events: DataFrame, shift_seconds: int = 0) -> DataFrame:
+def wire_messages(events: DataFrame, shift_seconds: int = 0, replay: int | None = None) -> DataFrame:
     """Wire trades as a topic delivers them: JSON bytes in ``value``, every 59th event as text that is no JSON."""
-    wire = wire_columns(events, shift_seconds)
+    wire = wire_columns(events, shift_seconds, replay)
     trade = message_value(**{name: F.col(name) for name in wire.columns if name != "event_id"})
     garbage = F.concat(F.lit("garbage "), F.col("event_id")).cast("binary")
     return wire.select(F.when(F.col("event_id") % 59 == 0, garbage).otherwise(trade).alias("value"))
 
 
+# A price of twenty digits, half of them behind the point, that follows from the event's number.
+LONG_PRICE = "concat(10000000000 + event_id, '.', lpad(string(event_id * 7 + 1), 9, '0'))"
+
+
+def long_price_messages(events: DataFrame) -> DataFrame:
+    """Vendor messages of one trade whose price has more digits than a double holds."""
+    return events.selectExpr(
+        f"""concat('{{"type":"trade","data":[{{"s":"', event_type, '","p":', {LONG_PRICE}, ',"v":', {_K},
+            ',"t":', unix_millis(timestamp(ts)), '}}]}}') AS value"""
+    )
+
+
 _ITEM = "struct<s: string, p: double, v: decimal(12,2), t: bigint>"
 
 

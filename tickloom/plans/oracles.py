@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tickloom.plans.queries import LATE_SHIFT_SECONDS, RANGE_END, RANGE_START, SUBSCRIBED
+from tickloom.plans.upkeep_queries import FAR_AHEAD, LOOKUP_END, LOOKUP_START, LOOKUP_SYMBOL, SILENT_AFTER
 
 _SUBSCRIBED = ", ".join(f"'{symbol}'" for symbol in SUBSCRIBED)
 
@@ -92,6 +93,18 @@ def _windows(name: str, trades: str, width: str = "1 minute") -> str:
 _WATERMARK = """
 mark AS (SELECT date_trunc('milliseconds', max(trade_timestamp)) - INTERVAL 2 MINUTE AS watermark FROM clean)"""
 
+# Runs of trades of a symbol without a longer pause; a new one starts behind every pause.
+_SPANS = f"""
+paused AS (
+  SELECT symbol, trade_timestamp,
+         CASE WHEN trade_timestamp > lag(trade_timestamp) OVER (PARTITION BY symbol ORDER BY trade_timestamp) + INTERVAL {SILENT_AFTER}
+              THEN 1 ELSE 0 END AS fresh FROM trades),
+numbered AS (
+  SELECT symbol, trade_timestamp, sum(fresh) OVER (PARTITION BY symbol ORDER BY trade_timestamp) AS span FROM paused),
+spans AS (
+  SELECT symbol, min(trade_timestamp) AS first_trade, max(trade_timestamp) AS last_trade,
+         max(trade_timestamp) + INTERVAL {SILENT_AFTER} AS silent_at, count(*) AS trade_count FROM numbered GROUP BY symbol, span)"""
+
 _CLEAN = [_wire("wire"), _typed("typed", "wire"), _clean("clean", "typed")]
 _CLEAN_LITERAL = [_wire("wire"), _typed("typed", "wire"), _clean("clean", "typed", literal=True)]
 _TRADES = [*_CLEAN, _dedup("trades", "clean")]
@@ -343,13 +356,92 @@ FROM trades, mark
 WHERE time_bucket(INTERVAL 1 MINUTE, trade_timestamp) + INTERVAL 1 MINUTE <= watermark
 GROUP BY symbol, trade_date""",
     ),
+    "late_correction": _sql(
+        [
+            *_LATE,
+            # What is stored already stays when a late copy comes.
+            """
+both_waves AS (
+  SELECT *, 0 AS wave FROM trades UNION ALL SELECT *, 1 AS wave FROM late),
+stored AS (
+  SELECT * EXCLUDE (copy) FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY symbol, trade_timestamp ORDER BY wave, ingestion_timestamp, price, volume, source) AS copy FROM both_waves)
+  WHERE copy = 1)""",
+            _windows("windows", "stored"),
+        ],
+        f"SELECT {_WINDOW_ROW}, trade_date FROM windows",
+    ),
+    "late_rows": _sql(
+        [*_LATE, _dedup("late_trades", "late")],
+        """
+SELECT late_trades.* FROM late_trades, (SELECT max(trade_timestamp) - INTERVAL 2 MINUTE AS exact_mark FROM clean)
+WHERE trade_timestamp <= exact_mark""",
+    ),
+    "stream_summary": _sql(
+        [*_WINDOWS, _WATERMARK],
+        """
+SELECT symbol, max(window_start) AS latest_window_start, CAST(sum(total_volume) AS BIGINT) AS total_volume,
+       CAST(sum(trade_count) AS BIGINT) AS trade_count, round(avg(avg_price), 6) AS avg_price
+FROM windows, mark WHERE window_end <= watermark GROUP BY symbol""",
+    ),
+    "reconcile_tree": _sql(
+        _TRADES,
+        """
+SELECT symbol, trade_timestamp, CASE WHEN volume % 50 = 7 THEN 'changed' ELSE 'removed' END AS change
+FROM trades WHERE volume % 50 IN (7, 8)""",
+    ),
+    "stream_open_windows": _sql(
+        [*_TRADES, _WATERMARK],
+        """
+SELECT symbol, count(*) AS raw_count, count(*) FILTER (closed) AS stored_count, count(*) FILTER (NOT closed) AS open_count,
+       CAST(0 AS BIGINT) AS difference
+FROM (SELECT symbol, time_bucket(INTERVAL 1 MINUTE, trade_timestamp) + INTERVAL 1 MINUTE <= watermark AS closed FROM trades, mark)
+GROUP BY symbol""",
+    ),
+    "one_pass_raw": _sql(_TRADES, f"SELECT {_STORED} FROM trades"),
+    "one_pass_windows": _sql(_WINDOWS, f"SELECT {_WINDOW_ROW}, trade_date FROM windows"),
+    "flow_await_any": _sql(_TRADES, f"SELECT {_STORED} FROM trades"),
+    "reject_future": _sql(
+        [_wire("wire"), _judged("judged", "wire")],
+        f"""
+SELECT CASE WHEN reject_reason = 'accepted' AND {FAR_AHEAD} THEN 'future' ELSE reject_reason END AS outcome, count(*) AS trade_count
+FROM judged GROUP BY outcome""",
+    ),
+    "stream_allow_list": _sql(
+        [
+            *_TRADES,
+            "span AS (SELECT CAST(floor(min(epoch(ts))) AS BIGINT) AS low, CAST(floor(max(epoch(ts))) AS BIGINT) AS high FROM events)",
+        ],
+        f"""
+SELECT {_STORED} FROM trades, span
+WHERE symbol = 'view'
+   OR (symbol = 'click' AND (CAST(floor(epoch(trade_timestamp)) AS BIGINT) - low) * 2 // (high - low + 1) = 1)""",
+    ),
+    "vendor_exact_prices": """
+SELECT event_type AS symbol,
+       CAST(CAST((10000000000 + event_id) || '.' || lpad(CAST(event_id * 7 + 1 AS VARCHAR), 9, '0') AS DECIMAL(38, 9)) AS VARCHAR) AS price,
+       date_trunc('milliseconds', ts) AS trade_timestamp
+FROM events""",
+    "active_spans": _sql([*_TRADES, _SPANS], "SELECT * FROM spans"),
+    "stream_silences": _sql([*_TRADES, _WATERMARK, _SPANS], "SELECT spans.* FROM spans, mark WHERE silent_at <= watermark"),
+    "raw_table_ranged": _sql(
+        _TRADES,
+        f"""
+SELECT * FROM trades
+WHERE symbol = '{LOOKUP_SYMBOL}' AND trade_timestamp >= TIMESTAMP '{LOOKUP_START}' AND trade_timestamp < TIMESTAMP '{LOOKUP_END}'""",
+    ),
 }
 
 # These ask in another way, by SQL or of a stored table, for what another query computes.
 for _name, _same in {
     "sql_latest_trades": "latest_trades",
     "stream_rejects": "reject_rows",
+    "reject_report_observed": "reject_report",
+    "stream_reject_report": "reject_report",
     "raw_table_latest": "latest_trades",
+    "raw_table_latest_indexed": "latest_trades",
+    "stream_dedup_earliest": "trade_dedup",
     "sql_latest_windows": "latest_windows",
     "sql_raw_count": "raw_count",
     "sql_aggregated_count": "aggregated_count",

@@ -518,15 +518,3 @@ QUERIES: dict[str, Query] = {
     "stream_reconcile": stream_reconcile,
     **{name: sql_query(statement) for name, statement in SQL.items()},
 }
-
-
-def catalogue() -> dict[str, Query]:
-    """Every query, made ready for comparison and run on a session in UTC."""
-
-    def ready(query: Query) -> Query:
-        def run(spark: SparkSession, folder: str) -> DataFrame:
-            return comparable(query(prepare_session(spark), folder))
-
-        return run
-
-    return {name: ready(query) for name, query in QUERIES.items()}

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.config import (
     AGGREGATED_QUERY,
     AGGREGATED_TABLE,
+    OUTCOMES,
     RAW_QUERY,
     RAW_TABLE,
     REJECT_QUERY,
@@ -29,6 +30,7 @@ from tickloom.operators import (
     allow_symbols,
     classify,
     clean_and_deduplicate,
+    observe_outcomes,
     rejected_input,
 )
 from tickloom.schema import AGGREGATED_LAYOUT, RAW_LAYOUT
@@ -52,22 +54,35 @@ def window_metrics(
     watermark_delay: str = WATERMARK_DELAY,
     keep_null_event_time: bool = False,
     copy_fanout: int = 1,
+    earliest: bool = False,
+    max_ahead: str | None = None,
 ) -> DataFrame:
     """Decoded trades to the rows of the aggregate table."""
     needed = ("price", "volume")
-    trades = clean_and_deduplicate(wire, watermark_delay, keep_null_event_time, needed, copy_fanout)
+    trades = clean_and_deduplicate(wire, watermark_delay, keep_null_event_time, needed, copy_fanout, earliest, max_ahead)
     return aggregate_windows(trades, width)
 
 
 def _raw_rows(wire: DataFrame, flow: TradeFlow) -> DataFrame:
     return clean_and_deduplicate(
-        wire, flow.watermark_delay, flow.keep_null_event_time, copy_fanout=flow.copy_fanout
+        wire,
+        flow.watermark_delay,
+        flow.keep_null_event_time,
+        copy_fanout=flow.copy_fanout,
+        earliest=flow.earliest_copy,
+        max_ahead=flow.max_ahead,
     )
 
 
 def _window_rows(wire: DataFrame, flow: TradeFlow) -> DataFrame:
     return window_metrics(
-        wire, flow.window_width, flow.watermark_delay, flow.keep_null_event_time, flow.copy_fanout
+        wire,
+        flow.window_width,
+        flow.watermark_delay,
+        flow.keep_null_event_time,
+        flow.copy_fanout,
+        flow.earliest_copy,
+        flow.max_ahead,
     )
 
 
@@ -110,8 +125,12 @@ def start_rejects(wire: DataFrame, target: str, flow: TradeFlow) -> StreamingQue
     A path gets Spark's file sink and belongs to this checkpoint. A table gets
     each micro-batch appended: rejected rows have no key, so a batch that is
     read again after a failure is there twice, and none is lost.
+
+    The outcomes of all rows, accepted ones too, are counted on the way and go out
+    with the query's progress (see ``OutcomeLog``).
     """
-    rows = rejected_input(classify(wire, flow.keep_null_event_time, keep_input=True))
+    classified = classify(wire, flow.keep_null_event_time, keep_input=True, max_ahead=flow.max_ahead)
+    rows = rejected_input(observe_outcomes(classified, OUTCOMES))
     writer = stream_writer(rows, flow.checkpoint(REJECT_TABLE), REJECT_QUERY, flow.trigger)
     if is_path(target):
         return writer.format("parquet").partitionBy("reject_reason").start(target)
@@ -177,16 +196,16 @@ def await_all(queries: list[StreamingQuery]) -> None:
 
 
 def ingest(
-    messages: DataFrame, source: str, symbols: list[str] | None = None
+    messages: DataFrame, source: str, symbols: list[str] | None = None, exact: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Vendor messages to accepted trades, rejected items and malformed messages.
 
-    Accepted trades keep the text of their price. Rejected items, incomplete ones
+    Accepted trades keep the text of their price, with ``exact`` all of its digits. Rejected items, incomplete ones
     too, keep all of their text and the reason; the list of subscribed symbols
     is applied to what the rules accept. Malformed messages carry no complete
     trade at all; they are returned as they came.
     """
-    classified = classify(explode_items(messages, source), keep_input=True, trade_time=epoch_millis_to_time)
+    classified = classify(explode_items(messages, source, exact=exact), keep_input=True, trade_time=epoch_millis_to_time)
     good = classified.where(F.col("reject_reason").isNull()).select(
         "symbol", "original.price", "volume", "trade_timestamp", "ingestion_timestamp", "source"
     )

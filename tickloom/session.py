@@ -70,3 +70,16 @@ def make_until_exit(spark: SparkSession, folder: str) -> None:
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path)
     files.deleteOnExit(path)
+
+
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder but for hidden ones, sorted; none if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [entry.getPath().getName() for entry in files.listStatus(path)] if files.exists(path) else []
+    return sorted(name for name in names if name[0] not in "._")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -17,13 +17,28 @@ def _complete(item: Column) -> Column:
     return item["s"].isNotNull() & item["p"].isNotNull() & item["v"].isNotNull() & item["t"].isNotNull()
 
 
-def explode_items(messages: DataFrame, source: str, column: str = "value") -> DataFrame:
+def _exact_items(messages: DataFrame, column: str) -> DataFrame:
+    """The items' fields as text with all of their digits.
+
+    A variant holds a number as it is written, as a decimal of up to 38 digits, where
+    the reader of a fixed schema makes a double of it on the way to text.
+    """
+    parsed = messages.select(F.inline(F.array(F.struct(F.try_parse_json(F.col(column).cast("string")).alias("message")))))
+    of_trades = parsed.where(F.expr("try_variant_get(message, '$.type', 'string') = 'trade'"))
+    items = of_trades.select(F.explode(F.expr("try_variant_get(message, '$.data', 'array<variant>')")).alias("item"))
+    return items.select(*[F.expr(f"try_variant_get(item, '$.{name}', 'string')").alias(name) for name in ("s", "p", "v", "t")])
+
+
+def explode_items(messages: DataFrame, source: str, column: str = "value", exact: bool = False) -> DataFrame:
     """One row per item in messages of type ``trade``, complete or not, its fields as text.
 
-    The time is the text of epoch milliseconds.
+    The time is the text of epoch milliseconds. With ``exact`` no number goes through a double.
     """
-    envelope = messages.select(F.inline(F.array(_message(column))))
-    items = envelope.where(F.col("type") == "trade").select(F.inline("data"))
+    if exact:
+        items = _exact_items(messages, column)
+    else:
+        envelope = messages.select(F.inline(F.array(_message(column))))
+        items = envelope.where(F.col("type") == "trade").select(F.inline("data"))
     return items.select(
         F.col("s").alias("symbol"),
         F.col("p").alias("price"),
@@ -34,15 +49,15 @@ def explode_items(messages: DataFrame, source: str, column: str = "value") -> Da
     )
 
 
-def explode_messages(messages: DataFrame, source: str, column: str = "value") -> DataFrame:
+def explode_messages(messages: DataFrame, source: str, column: str = "value", exact: bool = False) -> DataFrame:
     """One row per complete trade in messages of type ``trade``.
 
     ``price`` stays text as the JSON reader gives it (a number passes through a
-    double there); volume and time are typed. Items that lack a symbol, price,
+    double there, but not with ``exact``); volume and time are typed. Items that lack a symbol, price,
     volume or time are skipped, as are messages of other types and text that is
     not JSON.
     """
-    complete = explode_items(messages, source, column).dropna(subset=["symbol", "price", "volume", "trade_timestamp"])
+    complete = explode_items(messages, source, column, exact).dropna(subset=["symbol", "price", "volume", "trade_timestamp"])
     return complete.withColumns(
         {
             "volume": to_volume(F.col("volume")),

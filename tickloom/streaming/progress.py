@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from tickloom.config import OUTCOMES
+
 PROGRESS_SCHEMA = (
     "query_id string, run_id string, query_name string, batch_id bigint, operator_index int, operator string, "
     "input_rows bigint, late_rows_dropped bigint, state_rows bigint, duration_ms bigint"
@@ -36,6 +38,15 @@ def progress_rows(report: dict) -> list[tuple]:
     ]
 
 
+OUTCOME_SCHEMA = "query_id string, run_id string, batch_id bigint, outcome string, trade_count bigint"
+
+
+def outcome_rows(report: dict) -> list[tuple]:
+    """One tuple per outcome that a micro-batch counted on its way (``observe_outcomes``)."""
+    counts = report.get("observedMetrics", {}).get(OUTCOMES, {})
+    return [(report["id"], report["runId"], report["batchId"], outcome, count) for outcome, count in counts.items()]
+
+
 class ProgressLog(StreamingQueryListener):
     """Appends the progress of every micro-batch of the session's queries to a table.
 
@@ -44,6 +55,9 @@ class ProgressLog(StreamingQueryListener):
     fewer than ``every`` rows of the log, none of the data.
     """
 
+    schema = PROGRESS_SCHEMA
+    rows_of = staticmethod(progress_rows)
+
     def __init__(self, spark: SparkSession, path: str, every: int = 100):
         self.spark, self.path, self.every = spark, path, every
         self.held: list[tuple] = []
@@ -57,7 +71,7 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.held += progress_rows(json.loads(event.progress.json))
+        self.held += self.rows_of(json.loads(event.progress.json))
         if len(self.held) >= self.every:
             self._write()
 
@@ -70,7 +84,7 @@ class ProgressLog(StreamingQueryListener):
     def _write(self) -> None:
         rows, self.held = self.held, []
         if rows:
-            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            self.spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("append").parquet(self.path)
 
     def wait_for(self, query: StreamingQuery, timeout: float = 60) -> None:
         """Until the reports of an ended query are in the table; they arrive after its end."""
@@ -79,6 +93,19 @@ class ProgressLog(StreamingQueryListener):
                 raise TimeoutError(f"no report of the end of query {query.name}")
 
 
+class OutcomeLog(ProgressLog):
+    """Keeps the outcomes that queries count on their way; a stream's report of rejects without another pass."""
+
+    schema = OUTCOME_SCHEMA
+    rows_of = staticmethod(outcome_rows)
+
+
+def outcome_report(spark: SparkSession, path: str) -> DataFrame:
+    """Number of trades per outcome over all batches; a batch that was run again counts by its last run."""
+    logged = spark.read.schema(OUTCOME_SCHEMA).parquet(path).dropDuplicates(["query_id", "batch_id", "outcome"])
+    return logged.groupBy("outcome").agg(F.sum("trade_count").alias("trade_count")).where("trade_count > 0")
+
+
 def progress_report(spark: SparkSession, path: str) -> DataFrame:
     """The logged reports, each once."""
     return spark.read.schema(PROGRESS_SCHEMA).parquet(path).dropDuplicates(PROGRESS_KEYS)

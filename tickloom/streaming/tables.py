@@ -138,9 +138,10 @@ def append_unseen(
 ) -> None:
     """Insert the rows of ``batch`` whose key is not among the stored rows.
 
-    One pass over the batch finds whether it is empty and which time span it
-    covers; only that span of the stored table is read. The batch is kept for
-    the second pass, so its upstream stages, state updates included, run once.
+    One pass over the batch finds whether it is empty, which time span it covers
+    and which dates; of the stored table only that span of these dates is read, so a single
+    trade of a far date opens that date and not all between. The batch is kept
+    for the second pass, so its upstream stages, state updates included, run once.
     """
     time = F.col(layout.time_column)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -149,12 +150,13 @@ def append_unseen(
             F.count("*").alias("rows"),
             F.min(time).cast("string").alias("low"),
             F.max(time).cast("string").alias("high"),
+            F.collect_set("trade_date").alias("dates"),
         ).first()
         if span["rows"] == 0:
             return
         low, high = F.lit(span["low"]).cast("timestamp"), F.lit(span["high"]).cast("timestamp")
         stored = stored_rows(span["low"], span["high"])
-        stored = stored.where(time.between(low, high) & F.col("trade_date").between(F.to_date(low), F.to_date(high)))
+        stored = stored.where(time.between(low, high) & F.col("trade_date").isin(span["dates"]))
         insert(batch.join(stored.select(*layout.keys), list(layout.keys), "left_anti"))
     finally:
         batch.unpersist()
