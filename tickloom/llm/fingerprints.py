@@ -6,6 +6,9 @@ depend on the term alone; from them and the weight follows a value, and the
 sample keeps the smallest. Two texts keep the same value with a probability equal
 to their generalised Jaccard similarity, the sum of the smaller weights over the
 sum of the larger ones. The share of equal samples estimates it.
+
+What is kept of a sample names the winning term and its rounded weight, not the
+value, whose last bits may differ between processors.
 """
 
 from __future__ import annotations
@@ -27,7 +30,10 @@ SAMPLES = 64
 # Bytes of text hashed together, and terms sampled together.
 CHUNK_BYTES = 1 << 20
 CHUNK_TERMS = 1 << 13
-_SALTS = mix(np.arange(1, 5 * SAMPLES + 1, dtype=np.uint64)).reshape(5, SAMPLES)
+# (Term, weight) pairs whose samples a worker remembers: 0.5 KB each, the pairs of frequent words above all.
+KNOWN_KINDS = 120_000
+_SALTS = mix(np.arange(1, 6 * SAMPLES + 1, dtype=np.uint64)).reshape(6, SAMPLES)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _log_uniform(terms: np.ndarray, salts: np.ndarray) -> np.ndarray:
@@ -36,18 +42,53 @@ def _log_uniform(terms: np.ndarray, salts: np.ndarray) -> np.ndarray:
 
 
 def samples(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The logarithm of each (term, weight)'s value in each sample: a row per term.
+    """What each (term, weight) offers to each sample, a row per term; the smallest number wins.
 
-    A gamma number of shape 2 is minus the logarithm of a product of two uniform ones.
+    The upper half of a number has the order of the value's logarithm, the lower half is a hash of the
+    term and its rounded weight. A gamma number of shape 2 is minus the logarithm of a product of two uniform ones.
     """
     r = -(_log_uniform(terms, _SALTS[0]) + _log_uniform(terms, _SALTS[1]))
     c = np.log(-(_log_uniform(terms, _SALTS[2]) + _log_uniform(terms, _SALTS[3])))
     beta = (mix(terms[:, None] ^ _SALTS[4]) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
     t = np.floor(np.log(weights.astype(np.float32))[:, None] / r + beta)
-    return c - r * (t - beta) - r
+    value = (c - r * (t - beta) - r).view(np.uint32)
+    # The bits of floats in their order: negative ones reversed, positive ones behind them.
+    ordered = np.where(value >> np.uint32(31), ~value, value | np.uint32(1 << 31)).astype(np.uint64)
+    name = mix((terms[:, None] ^ _SALTS[5]) + t.astype(np.int64).astype(np.uint64) * _ODD) >> np.uint64(32)
+    return (ordered << np.uint64(32)) | name
+
+
+class Sampler:
+    """``samples`` with a memory of the pairs met before."""
+
+    def __init__(self) -> None:
+        self.names, self.values = np.zeros(0, np.uint64), np.zeros((0, SAMPLES), np.uint64)
+
+    def __call__(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        # Two pairs of one name would share samples; with 64 bits that does not happen in practice.
+        names = mix(terms ^ mix(weights.astype(np.uint64)))
+        out = np.empty((len(terms), SAMPLES), np.uint64)
+        at = np.minimum(np.searchsorted(self.names, names), max(len(self.names) - 1, 0))
+        known = self.names[at] == names if len(self.names) else np.zeros(len(names), bool)
+        out[known] = self.values[at[known]]
+        fresh = np.flatnonzero(~known)
+        for a in range(0, len(fresh), CHUNK_TERMS):
+            some = fresh[a : a + CHUNK_TERMS]
+            out[some] = samples(terms[some], weights[some])
+        self._keep(names, out, fresh)
+        return out
 
+    def _keep(self, names: np.ndarray, values: np.ndarray, fresh: np.ndarray) -> None:
+        """Remember new pairs while there is room; when it is used up, only what this call needed stays."""
+        if len(self.names) + len(fresh) <= KNOWN_KINDS:
+            names, values = np.concatenate([self.names, names[fresh]]), np.concatenate([self.values, values[fresh]])
+        elif len(names) > KNOWN_KINDS:
+            names, values = names[:KNOWN_KINDS], values[:KNOWN_KINDS]
+        order = np.argsort(names)
+        self.names, self.values = names[order], values[order]
 
-def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+
+def fingerprints(data: np.ndarray, offsets: np.ndarray, sampled=samples) -> np.ndarray:
     """16 bits per sample and text, 0 only for texts without words."""
     n = len(offsets) - 1
     found = words(data, offsets)
@@ -63,19 +104,17 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     # A (term, weight) is sampled once for all texts that hold it.
     kinds, kind = np.unique(number * (int(weights.max()) + 1) + weights, return_inverse=True)
     term, weight = np.divmod(kinds, int(weights.max()) + 1)
-    values = np.empty((len(kinds), SAMPLES), np.float32)
-    for a in range(0, len(kinds), CHUNK_TERMS):
-        values[a : a + CHUNK_TERMS] = samples(vocabulary[term[a : a + CHUNK_TERMS]], weight[a : a + CHUNK_TERMS])
+    values = sampled(vocabulary[term], weight)
     starts = np.searchsorted(text, filled)
     ends = np.append(starts[1:], len(text))
-    least = np.empty((len(filled), SAMPLES), np.float32)
+    least = np.empty((len(filled), SAMPLES), np.uint64)
     first = 0
     while first < len(filled):
         last = max(first + 1, int(np.searchsorted(ends, starts[first] + 4 * CHUNK_TERMS, "right")))
         part = slice(starts[first], ends[last - 1])
         least[first:last] = np.minimum.reduceat(values[kind[part]], starts[first:last] - starts[first], axis=0)
         first = last
-    bits = mix(least.view(np.uint32).astype(np.uint64)) >> np.uint64(48)
+    bits = (least >> np.uint64(16)) & np.uint64(0xFFFF)
     out[filled] = np.maximum(bits, np.uint64(1)).astype(np.uint16)
     return out
 
@@ -95,7 +134,7 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def _print_all(some: list[str]) -> np.ndarray:
+def _print_all(some: list[str], sampled) -> np.ndarray:
     encoded = [text.encode("utf-8", "replace") for text in some]
     out, first = [], 0
     while first < len(encoded):
@@ -104,7 +143,7 @@ def _print_all(some: list[str]) -> np.ndarray:
             size += len(encoded[last])
             last += 1
         part = encoded[first:last]
-        out.append(fingerprints(np.frombuffer(b"".join(part), np.uint8), np.cumsum([0, *map(len, part)])))
+        out.append(fingerprints(np.frombuffer(b"".join(part), np.uint8), np.cumsum([0, *map(len, part)]), sampled))
         first = last
     return np.concatenate(out)
 
@@ -162,21 +201,27 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampled = Sampler()
         waiting: list[tuple] = []  # the last row, whose next one has not come yet
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 rows = [value.decode("utf-8", "replace") for value in column(batch, "text").to_pylist()]
-                marks = _print_all(rows)
-                line = waiting + list(
-                    zip(column(batch, "doc_id").to_pylist(), rows, marks, column(batch, "bucket").to_pylist(), column(batch, "tail").to_pylist(), strict=True)
-                )
+                cells = [column(batch, c).to_pylist() for c in ("bucket", "tail")]
+                follows = list(zip([w[1] for w in waiting] + rows[: len(rows) - 1], rows, strict=False)) if waiting else list(zip(rows[:-1], rows[1:], strict=True))
+                # A text and its edited form stand next to each other: most of their terms are the same.
+                together: list[str] = [] if waiting else [rows[0]]
+                for before, text in follows:
+                    together += [edited(before, text), text]
+                marks = _print_all(together, sampled)
+                own, other = (marks[1::2], marks[0::2]) if waiting else (marks[0::2], marks[1::2])
+                line = waiting + list(zip(column(batch, "doc_id").to_pylist(), rows, own, *cells, strict=True))
                 waiting = [line[-1]]
-                pairs = [(a, b) for a, b in zip(line[:-1], line[1:], strict=True) if not a[4] and a[3] == b[3]]
-                if not pairs:
+                held = [i for i, (a, b) in enumerate(zip(line[:-1], line[1:], strict=True)) if not a[4] and a[3] == b[3]]
+                if not held:
                     continue
-                changed = [edited(a[1], b[1]) for a, b in pairs]
-                after = _print_all(changed)
+                pairs = [(line[i], line[i + 1]) for i in held]
+                changed, after = [edited(a[1], b[1]) for a, b in pairs], other[held]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([a[0] for a, _ in pairs], batch.schema.field("doc_id").type),
