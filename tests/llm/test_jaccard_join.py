@@ -107,3 +107,28 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (300, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 150), 100), 200: 200, 300: 200}
+
+
+def thue_morse(letters: int) -> str:
+    word = "a"
+    while len(word) < letters:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+@pytest.mark.parametrize("letters", [1024, 2048, 4096])
+def test_words_built_to_collide_stay_apart(spark, letters):
+    word = thue_morse(letters)
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, f"x {word} y z"), (4, f"x {other} y z"), (5, f"x {word} y z")]
+    got = {r.doc_id: r.component_id for r in join_components(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 90).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 3}
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"w{rng.randrange(500)}" for _ in range(80)) for _ in range(4))
+    near = c + " tail"
+    rows = [(5, a), (5, b), (3, b), (7, a), (9, c), (9, d), (11, near), (12, d), (20, "only this one text here")]
+    got = {(r.doc_id, r.component_id) for r in join_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), 3, 90).collect()}
+    assert got == {(5, 3), (3, 3), (7, 3), (9, 9), (11, 9), (12, 9), (20, 20)}

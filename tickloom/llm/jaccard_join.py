@@ -349,8 +349,9 @@ def join_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
 
     Defined cases: a null text or one without words has an empty set (size 0) and
     is its own component; a row without ``doc_id`` is linked with nothing and has
-    a null component; rows of one ``doc_id`` are one document; further columns
-    are ignored; an empty table gives an empty result.
+    a null component; rows of one ``doc_id`` are one document, linked with all that
+    one of its rows is linked with; further columns are ignored; an empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
     n = partitions(spark)
@@ -359,9 +360,15 @@ def join_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     classes = named.groupBy("set_id").agg(F.min("doc_id").alias("first"))
     standing = written(named.join(classes, "set_id").select("doc_id", "n_shingles", "sketch", "first"), "standing")
 
+    # Rows of one id may have different sets, which then belong together.
+    several = written(named.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a <> b").select("doc_id"), "several")
+
     met = written(_meetings(_shipments(docs, words, threshold, 2 * n), n), "meetings")
-    known = standing.where("doc_id = first").select("doc_id", "n_shingles", "sketch")
+    known = standing.where("doc_id = first").groupBy("doc_id").agg(F.max(F.struct("n_shingles", "sketch")).alias("s")).select("doc_id", "s.*")
     stand_in = standing.select("doc_id", "first")
+    # One sketch says nothing of an id's other sets: such an id is linked without a check wherever it meets others.
+    unsure = met.where("not sure").join(several, "doc_id", "left_semi").select(F.col("list").alias("_list")).distinct()
+    met = met.join(unsure, F.col("list") == F.col("_list"), "left").withColumn("sure", F.col("sure") | F.col("_list").isNotNull()).drop("_list")
     meetings = (
         met.distinct().join(stand_in, "doc_id").select("list", "sure", F.col("first").alias("doc_id")).distinct().join(known, "doc_id")
     )
@@ -381,7 +388,8 @@ def join_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESH
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # Shuffled at every size: the list of clustered documents grows with the input.
     links = _verified(pairs.join(texts.hint("merge"), "doc_id").select("cluster", "p", "q", "block", "doc_id", "text"), words, threshold, n)
-    linked = components(links).select(F.col("node").alias("first"), "component")
+    same_id = named.join(several, "doc_id", "left_semi").join(classes, "set_id").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    linked = components(links.unionByName(same_id)).select(F.col("node").alias("first"), "component")
 
     labels = named.join(classes, "set_id").select("set_id", "first").distinct().join(linked, "first", "left")
     smallest = F.coalesce("component", "first").alias("component_id")

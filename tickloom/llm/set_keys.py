@@ -27,7 +27,7 @@ from typing import NamedTuple
 
 import numpy as np
 
-from tickloom.llm.words import mix, words
+from tickloom.llm.words import exact_words, mix
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 # The cost model: chance that an element of an unrelated set fits, weight of such meetings, weight of empty keys.
@@ -36,7 +36,7 @@ FITS, MEETING, EMPTY = 0.3, 40.0, 1e5
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
     """Per text the sorted distinct hashes of its ``n``-word shingles; a shorter text is one shingle as a whole."""
-    hashes, counts = words(data, offsets)
+    hashes, counts = exact_words(data, offsets)
     ends = np.cumsum(counts)
     rolled = np.zeros(max(0, len(hashes) - n + 1), np.uint64)
     for j in range(n):

@@ -8,6 +8,9 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
+import xxhash
+
+from tickloom.llm.runs import portions
 
 _RANDOM = np.random.default_rng(20_240_613)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -73,3 +76,18 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     ends = np.flatnonzero(ends) + 1
     hashes = span_hash(prefix_sums(data, fold=True), starts, ends)
     return Words(hashes, np.diff(np.searchsorted(starts, offsets)))
+
+
+def exact_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """The same, with hashes of each different word's bytes by xxh3.
+
+    The sums of ``words`` can be equal for words built to a rule, such as the Thue-Morse word and
+    its complement. What decides about equality of texts takes these.
+    """
+    counts = np.zeros(len(offsets) - 1, np.int64)
+    hashes = [np.zeros(0, np.uint64)]
+    for different, index, owner in portions(data, offsets, ~_SPACE[data]):
+        named = np.fromiter(map(xxhash.xxh3_64_intdigest, different.to_pylist()), np.uint64, len(different))
+        hashes.append(named[index])
+        counts += np.bincount(owner, minlength=len(counts))
+    return Words(np.concatenate(hashes), counts)
