@@ -35,12 +35,13 @@ def latest_windows(windows: DataFrame, count: int = 50) -> DataFrame:
 
 
 def latest_stored(table: DataFrame, count: int, by: str, date_column: str = "trade_date") -> DataFrame:
-    """``latest`` on a table partitioned by the date of ``by``, without opening its older partitions.
+    """``latest`` on a table partitioned by the date of ``by``, without reading the rows of its older partitions.
 
-    The newest date is the maximum of a partition column; each step then counts
-    the rows from one date on and takes the span back to twice as many days,
-    until ``count`` rows lie in it or the oldest date is reached. A span opens the
-    files of its own dates only.
+    The newest date is the maximum of a partition column, for which Spark opens the
+    footers of all files; each step then counts the rows from one date on and takes
+    the span back to twice as many days, until ``count`` rows lie in it or the oldest date is reached.
+    Where appends keep an index of the files (``streaming.file_index``),
+    ``latest_indexed`` opens the newest files alone.
     """
     dates = table.select(date_column).where(F.col(date_column).isNotNull()).distinct()
     ends = dates.agg(F.min(date_column).alias("first"), F.max(date_column).alias("last")).first()
