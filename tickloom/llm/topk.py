@@ -1,17 +1,15 @@
 """Exact top-k search by inner product without random access (NRA).
 
-A block of vectors holds one sorted list per component. A query reads all lists
-in parallel from the end that its component's sign prefers. After every round of
-reads each vector has a *lower* bound (what was read of it, and the worst end of
-a list for what was not) and an *upper* bound (what was read, and the value the
-list has come to for what was not). A query stops when no vector outside its
-candidates can reach the k-th best lower bound; the candidates' scores are then
-resolved.
-
-Reads of many queries are done together. With a list read down to the value f,
-"read or bounded by the list" is ``max(v, f)`` and "read or worst" is
-``where(v >= f, v, worst)``, so the bounds of a block of queries over a block of
-vectors are four matrix products.
+A block of vectors holds one sorted list per component: pairs of a vector and its
+value. A query reads all lists in parallel, entry by entry, from the end that its
+component's sign prefers, and adds up what it reads per vector. At any depth each vector has a
+*lower* bound (what was read of it, and the worst end of a list for what was not)
+and an *upper* bound (what was read, and the value the list has come to for what
+was not). A query stops when no vector outside its candidates can reach the k-th
+best lower bound; only the candidates' scores are then resolved.
+
+Depths grow by a factor, so a query that can stop early reads a small part of the
+lists, and one that cannot reads each entry once.
 
 Blocks of queries meet blocks of vectors by a join on the pair of block numbers;
 every pair is a task of fixed size, and only k rows per query leave it.
@@ -33,7 +31,7 @@ K = 5
 VECTOR_BLOCK = 8192
 QUERY_BLOCK = 512
 # Shares of a list that have been read after each round.
-DEPTHS = (0.25, 0.5, 0.75)
+DEPTHS = (1 / 32, 1 / 8, 1 / 4, 1 / 2, 1.0)
 # A query stops reading when it has this many candidates for each result wanted.
 FEW = 8
 LONG = (-(2**63), 2**63 - 1)
@@ -59,44 +57,75 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.asarray(sorted(places, key=lambda i: (-scores[i], ids[i]))[:k], np.int64)
 
 
-def search(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per query its place, and the places and scores of its k best vectors of this block."""
-    n = len(vectors)
-    lists = np.sort(vectors, axis=0)  # ascending; read from either end
-    worst_up, worst_down = lists[0], lists[-1]
-    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    own = {int(v): i for i, v in enumerate(ids)}
-    places = np.asarray([own.get(int(q), -1) for q in query_ids])
-    waiting = np.arange(len(queries))
-    for depth in DEPTHS:
-        read = max(1, int(n * depth))
-        if n <= FEW * k or not len(waiting):
+class Lists:
+    """The sorted lists of a block: per component the vectors in order of their values."""
+
+    def __init__(self, vectors: np.ndarray):
+        self.vectors = vectors
+        self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()  # a list per row, ascending
+        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
+
+    def read(self, component: int, down: bool, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """The entries at places ``first`` to ``last``, from the upper end or from the lower one."""
+        n = self.order.shape[1]
+        part = slice(n - last, n - first) if down else slice(first, last)
+        return self.order[component, part], self.values[component, part]
+
+
+def read_lists(query: np.ndarray, lists: Lists, own: int, k: int) -> np.ndarray:
+    """Candidates of one query: places that hold its k best vectors, found by reading the lists as deep as needed.
+
+    ``own`` is the query's own place, or -1.
+    """
+    n = len(lists.vectors)
+    used = np.flatnonzero(query)
+    down = query > 0  # a positive weight prefers large values
+    weights = query[used]
+    worst = np.where(down[used], lists.values[used, 0], lists.values[used, -1])
+    read_sum = np.zeros(n)  # per vector: what was read of it
+    read_worst = np.zeros(n)  # per vector: what the lists' worst ends would have given for that
+    unread = np.ones((n, len(used)), np.float64)
+    depth = 0
+    for share in DEPTHS:
+        until = min(n, max(depth + 1, int(n * share)))
+        reached = np.empty(len(used))
+        for i, component in enumerate(used):
+            places, values = lists.read(component, down[component], depth, until)
+            # A list holds each vector once, so no place is added to twice here.
+            read_sum[places] += weights[i] * values
+            read_worst[places] += weights[i] * worst[i]
+            unread[places, i] = 0.0
+            reached[i] = values[0] if down[component] else values[-1]
+        depth = until
+        if depth == n:
             break
-        high, low = lists[n - read], lists[read - 1]  # the values the lists have come to
-        upper = up[waiting] @ np.maximum(vectors, high).T + down[waiting] @ np.minimum(vectors, low).T
-        lower = (
-            up[waiting] @ np.where(vectors >= high, vectors, worst_up).T
-            + down[waiting] @ np.where(vectors <= low, vectors, worst_down).T
-        )
-        rows = np.flatnonzero(places[waiting] >= 0)
-        upper[rows, places[waiting][rows]] = lower[rows, places[waiting][rows]] = -np.inf
-        kth = np.partition(lower, n - k, axis=1)[:, n - k]
+        lower = read_sum + (weights @ worst - read_worst)
+        upper = read_sum + unread @ (weights * reached)
+        if own >= 0:
+            lower[own] = upper[own] = -np.inf
+        kth = np.partition(lower, n - k)[n - k] if n > k else -np.inf
         # An upper bound that equals the k-th lower bound may still tie with a smaller id.
-        candidates = upper >= kth[:, None]
-        ready = np.count_nonzero(candidates, axis=1) <= FEW * k
-        for row in np.flatnonzero(ready):
-            query = waiting[row]
-            held = np.flatnonzero(candidates[row])
-            scores = vectors[held] @ queries[query]
-            first = _best(scores, ids[held], k)
-            yield query, held[first], scores[first]
-        waiting = waiting[~ready]
-    if len(waiting):  # the lists have been read to their ends: the bounds are the scores
-        scores = queries[waiting] @ vectors.T
-        for row, query in enumerate(waiting):
-            others = np.flatnonzero(ids != query_ids[query])
-            first = _best(scores[row, others], ids[others], k)
-            yield query, others[first], scores[row, others[first]]
+        candidates = np.flatnonzero(upper >= kth)
+        if len(candidates) <= FEW * k:
+            return candidates
+    # The lists have been read to their ends: what was read is the score.
+    if own >= 0:
+        read_sum[own] = -np.inf
+    kth = np.partition(read_sum, n - k)[n - k] if n > k else -np.inf
+    return np.flatnonzero((read_sum >= kth) & (read_sum > -np.inf))
+
+
+def search(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per query its place, and the places and scores of its k best vectors of this block."""
+    lists = Lists(vectors)
+    place_of = {int(v): i for i, v in enumerate(ids)}
+    for i, query in enumerate(queries):
+        own = place_of.get(int(query_ids[i]), -1)
+        held = read_lists(query, lists, own, k)
+        held = held[held != own]
+        scores = vectors[held] @ query
+        first = _best(scores, ids[held], k)
+        yield i, held[first], scores[first]
 
 
 def _pairs(rows: DataFrame, k: int) -> DataFrame:
