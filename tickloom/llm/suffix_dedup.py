@@ -32,10 +32,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.llm.arrow import column, packed
 from tickloom.llm.phrases import Phrases, parse, pieces
-from tickloom.llm.tables import partitions, written
+from tickloom.llm.tables import partitions, quoted, written
 
 MATCH, GRAM = 100, 48
 # Phrases held by a task before they are shipped.
@@ -47,7 +48,7 @@ SORTED = 1 << 17
 # A trigger with more different phrases than this is settled window by window.
 HOT = 256
 NO_ID = -(2**63)
-TRIGGER_BYTES, CONTENT_BYTES = 5, 6
+TRIGGER_BYTES, CONTENT_BYTES = 5, 8
 
 
 def _short(values: np.ndarray, width: int) -> bytes:
@@ -147,7 +148,7 @@ def _ship(docs: DataFrame, match: int, gram: int, buckets: int) -> DataFrame:
     def pack(parts: list[tuple]) -> pa.RecordBatch:
         doc, tag, start, count, trigger, content = (np.concatenate(x) for x in zip(*parts, strict=True))
         bucket = (trigger % np.uint64(buckets)).astype(np.int64)
-        trigger, content = trigger // np.uint64(buckets) & np.uint64(2**40 - 1), content & np.uint64(2**48 - 1)
+        trigger = trigger // np.uint64(buckets) & np.uint64(2**40 - 1)
         # Of a phrase that is here several times only the earliest occurrence travels.
         order = np.lexsort((start, doc, content, trigger, bucket))
         begins = _runs(bucket[order], trigger[order], content[order])
@@ -445,7 +446,7 @@ def _whole(text: bytes, edges: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64).reshape(-1, 2)
 
 
-def _remove(dealt: DataFrame, match: int, carry: str, whole_characters: bool) -> DataFrame:
+def _remove(dealt: DataFrame, match: int, whole_characters: bool) -> DataFrame:
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -484,8 +485,9 @@ def _remove(dealt: DataFrame, match: int, carry: str, whole_characters: bool) ->
         if rows:
             yield result(current, rows)
 
-    schema = f"carry {carry}, kept binary, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>"
-    return dealt.mapInArrow(run, schema)
+    rest = StructType.fromDDL("kept binary, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>")
+    # Not as text: the carried columns may have any names.
+    return dealt.mapInArrow(run, StructType([dealt.schema["carry"], *rest.fields]))
 
 
 def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM, whole_characters: bool = False) -> DataFrame:
@@ -504,10 +506,10 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM, whole_
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("place"),
         F.coalesce("text", F.lit("")).cast("binary").alias("text"),
-        F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("carry"),
+        F.struct(*[F.col(quoted(c)) for c in docs.columns if c != "text"]).alias("carry"),
     )
     first = written(_dictionary(_ship(rows.select("place", "text"), match, gram, 2 * n), n, buckets), "repeats")
     asked = _dealt(rows.withColumn("carry", F.lit(None).cast("string")), first.where(f"what <> {COVER}"), n, buckets)
     second = written(_compare(_send(asked, match, 2 * n), match, n, buckets), "repeats")
     covered = first.where(f"what = {COVER}").unionByName(second)
-    return _remove(_dealt(rows, covered, n, buckets), match, rows.schema["carry"].dataType.simpleString(), whole_characters)
+    return _remove(_dealt(rows, covered, n, buckets), match, whole_characters)

@@ -29,3 +29,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def quoted(name: str) -> str:
+    """A column's name as ``F.col`` takes it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
