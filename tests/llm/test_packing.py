@@ -3,9 +3,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from tickloom.llm.arrow import packed
 from tickloom.llm.packing import CAPACITY, WordIds, cuts, pack
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -22,8 +24,9 @@ def test_ids_equal_the_library():
     rng, mine, library = random.Random(1), WordIds(PATH), Tokenizer.from_file(PATH)
     letters = " \n\t  abcdeéßΣİ'12.,|s't中　\x1c\x85̈"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(3000)] + ["a <|endoftext|> b<|startoftext|>c"]
-    for text, ids in zip(texts, mine.encode(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    ids, bounds = mine.encode(*packed(pa.array(texts)))
+    for text, first, last in zip(texts, bounds[:-1], bounds[1:], strict=True):
+        assert ids[first:last].tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], text
 
 
 def test_every_id_is_in_one_piece_and_padding_is_small(spark):

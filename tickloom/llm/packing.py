@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tickloom.llm.arrow import column, texts
+from tickloom.llm.arrow import column, packed, slices
+from tickloom.llm.pair_index import piece_starts
+from tickloom.llm.runs import as_utf8, gathered
 from tickloom.llm.tables import written
 
 CAPACITY = 2048
@@ -32,9 +35,14 @@ END_ID = 1
 # A rest of fewer ids than this is not cut any further.
 LEAST_CUT = 64
 WORKERS = 256
-# Different words kept per Python worker, and characters encoded in one call.
-MEMO_WORDS = 250_000
-CALL_CHARS = 1 << 20
+# Different pieces kept per Python worker, words and bytes encoded in one call, and bytes of texts worked on at once.
+MEMO_WORDS = 400_000
+JOINED_WORDS = 500
+CALL_BYTES = 1 << 20
+GATHERED_BYTES = 1 << 23
+
+# Letters of Latin-1: normalised and lowered they stay letters, one by one.
+PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 def cuts(length: int, capacity: int = CAPACITY, least: int = LEAST_CUT) -> list[int]:
@@ -55,48 +63,112 @@ def cuts(length: int, capacity: int = CAPACITY, least: int = LEAST_CUT) -> list[
 
 
 class WordIds:
-    """Ids of a text, encoded word by word: the tokenizer sees a word once, not at each of its places.
+    """Ids of texts, encoded piece by piece: the tokenizer sees a piece once, not at each of its places.
 
-    The tokenizer drops white space and never looks across it, so a text cut at
-    single spaces and line breaks has the ids of its words in a row.
+    The tokenizer drops white space, never looks across it, and never joins
+    letters, digits and signs, so a text cut there (``piece_starts``) has the ids of its
+    pieces in a row. Pieces are told apart for many texts at once; only
+    different ones are looked up, and new words of plain letters go to the tokenizer
+    many in one text, where each ends with an id that says so.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        fresh = []
-        for word in words:
-            ids = self.older.get(word)
-            if ids is None:
-                fresh.append(word)
-            else:
-                self.known[word] = ids
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[id_ for token, id_ in vocabulary.items() if token.endswith("</w>")]] = True
+        added = sorted((token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()), key=lambda t: (-len(t), t))
+        self.find_added = re.compile(b"|".join(map(re.escape, added))) if added else None
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(found.ids, "<u4") for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, fresh: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """New pieces and their ids."""
+        plain: list[bytes] = []
+        others: list[bytes] = []
+        for piece in fresh:
+            (plain if piece.isalpha() or PLAIN.fullmatch(piece) else others).append(piece)
+        for at in range(0, len(plain), JOINED_WORDS):
+            words = plain[at : at + JOINED_WORDS]
+            ids = self._encoded([b" ".join(words).decode()])[0]
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(words):  # the vocabulary has no ends of words
+                others += words
+                continue
+            raw, first = ids.tobytes(), 0
+            for word, last in zip(words, (4 * ends).tolist(), strict=True):
+                yield word, raw[first:last]
+                first = last
         first = 0
-        while first < len(fresh):
-            chars, last = 0, first
-            while last < len(fresh) and (last == first or chars + len(fresh[last]) < CALL_CHARS):
-                chars += len(fresh[last])
+        while first < len(others):
+            size, last = 0, first
+            while last < len(others) and (last == first or size + len(others[last]) < CALL_BYTES):
+                size += len(others[last])
                 last += 1
-            part = fresh[first:last]
-            # One call with the words as separate inputs of a batch.
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.asarray(found.ids, "<u4").tobytes()
+            part = others[first:last]
+            # One call with the pieces as separate inputs of a batch.
+            yield from zip(part, (ids.tobytes() for ids in self._encoded([piece.decode() for piece in part])), strict=True)
             first = last
 
-    def encode(self, some: list[str]) -> Iterator[bytes]:
-        """Per text its ids as little-endian unsigned 32-bit numbers."""
-        split = [text.replace("\n", " ").split(" ") for text in some]
-        missing = {word for words in split for word in words}
-        missing.difference_update(self.known)
-        self._learn(missing)
-        for words in split:
-            yield b"".join(map(self.known.__getitem__, words))
+    def _look_up(self, pieces: list[bytes]) -> list[bytes]:
         if len(self.known) > MEMO_WORDS:
-            self.older, self.known = self.known, {"": b""}
+            self.older, self.known = self.known, {}
+        # White space around a piece is dropped, and the tokenizer lowers letters itself.
+        keys = [piece.strip(b" \t\r\n") for piece in pieces]
+        keys = [key.lower() if key.isalpha() or PLAIN.fullmatch(key) else key for key in keys]
+        held: dict[bytes, bytes] = {}
+        fresh = []
+        for key in dict.fromkeys(keys):
+            ids = self.known.get(key)
+            if ids is None:
+                ids = self.older.get(key)
+            if ids is None:
+                fresh.append(key)
+            else:
+                held[key] = ids
+        held.update(self._learn(fresh))
+        self.known.update(held)
+        return [held[key] for key in keys]
+
+    def _bounds(self, data: np.ndarray, offsets: np.ndarray, raw: bytes) -> np.ndarray:
+        """Where pieces begin, and the end. An added token of the tokenizer's is one piece."""
+        cut = np.zeros(len(data) + 1, bool)
+        for at in range(0, len(data), GATHERED_BYTES):
+            cut[at : min(at + GATHERED_BYTES, len(data))] = piece_starts(data[max(at - 3, 0) : at + GATHERED_BYTES])[min(at, 3) :]
+        cut[offsets] = True
+        if self.find_added:
+            for first, last in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                for match in self.find_added.finditer(raw, first, last):
+                    cut[match.start() + 1 : match.end()] = False
+                    cut[[match.start(), match.end()]] = True
+        return np.flatnonzero(cut)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of packed texts, ``END_ID`` behind each, in one run; the offsets of each text's ids in it."""
+        raw = data.tobytes()
+        bounds = self._bounds(data, offsets, raw)
+        parts, counts = [np.zeros(0, "<u4")], [np.zeros(1, np.int64)]
+        for i, j in slices(bounds, GATHERED_BYTES):
+            coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(bounds[i : j + 1]), pa.py_buffer(raw)]).dictionary_encode()
+            index = coded.indices.to_numpy()
+            found = self._look_up(coded.dictionary.to_pylist())
+            lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            starts, sizes = (np.cumsum(lengths) - lengths)[index], lengths[index]
+            upto = np.cumsum(sizes)
+            flat = np.frombuffer(b"".join(found), "<u4")
+            parts.append(flat[np.repeat(starts - upto + sizes, sizes) + np.arange(upto[-1])])
+            counts.append(sizes)
+        before = np.cumsum(np.concatenate(counts))[np.searchsorted(bounds, offsets)]  # ids before each text
+        places = before + np.arange(len(offsets))
+        ids = np.full(places[-1], END_ID, "<u4")
+        inside = np.ones(places[-1], bool)
+        inside[places[1:] - 1] = False
+        ids[inside] = np.concatenate(parts)
+        return ids, places
 
 
 @functools.lru_cache(maxsize=2)
@@ -108,24 +180,23 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens``: every document tokenized and cut, end id included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = word_ids(path), np.asarray([END_ID], "<u4").tobytes()
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                owner, starts, lengths, sums, totals = [], [], [], [], []
-                for i, ids in enumerate(encoder.encode(texts(batch))):
-                    ids = memoryview(ids + end)
-                    start = 0
-                    for length in cuts(len(ids) // 4, capacity):
-                        owner.append(i)
-                        starts.append(start)
-                        lengths.append(length)
-                        sums.append(zlib.crc32(ids[4 * start : 4 * (start + length)]))
-                        totals.append(len(ids) // 4)
-                        start += length
-                doc_ids = column(batch, "doc_id").take(pa.array(owner, pa.int64()))
-                numbers = [pa.array(values, pa.int64()) for values in (starts, lengths, sums, totals)]
-                yield pa.RecordBatch.from_arrays([doc_ids, *numbers], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        encoder = word_ids(path)
+        for batch in gathered(batches, "text", GATHERED_BYTES):
+            ids, bounds = encoder.encode(*packed(as_utf8(column(batch, "text"))))
+            raw, bounds = ids.view(np.uint8).data, bounds.tolist()
+            owner, starts, lengths, sums, totals = [], [], [], [], []
+            for i, (first, last) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                start = first
+                for length in cuts(last - first, capacity):
+                    owner.append(i)
+                    starts.append(start - first)
+                    lengths.append(length)
+                    sums.append(zlib.crc32(raw[4 * start : 4 * (start + length)]))
+                    totals.append(last - first)
+                    start += length
+            doc_ids = column(batch, "doc_id").take(pa.array(owner, pa.int64()))
+            numbers = [pa.array(values, pa.int64()) for values in (starts, lengths, sums, totals)]
+            yield pa.RecordBatch.from_arrays([doc_ids, *numbers], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
