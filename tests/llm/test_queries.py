@@ -4,6 +4,7 @@ import sys
 from pathlib import Path
 
 import brute
+import plain_language
 import pytest
 from compare import connect, differences
 
@@ -43,3 +44,19 @@ def test_suffix_dedup(spark, small):
 @pytest.mark.parametrize("name, table", [("op3_byte_bpe", "documents"), ("op5_warc", "pages"), ("op7_fingerprints", "documents"), ("op9_sharding", "documents")])
 def test_a_row_for_every_row(spark, small, name, table):
     assert catalogue()[name](spark, small).count() == spark.read.parquet(f"{small}/{table}.parquet").count()
+
+
+def test_language_id(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").collect()
+    pages = spark.read.parquet(f"{small}/pages.parquet").collect()
+    rows = [plain_language.document(r.doc_id, r.text, r.source) for r in docs] + [plain_language.page(r.page_id, r.url, r.html) for r in pages]
+    expected = plain_language.identified(rows, [(r.text, r.lang) for r in docs])
+    evidence = {row["key"]: (row["host"], row["declared"], row["suffix"]) for row in rows}
+    got = catalogue()["op6_language_id"](spark, small).collect()
+    assert len(got) == len(rows) == len(expected)
+    for r in got:
+        key = ("doc", r.doc_id) if r.doc_id is not None else ("page", r.page_id)
+        language, posterior, accepted = expected[key]
+        assert (r.host, r.declared, r.suffix) == evidence[key]
+        # Spark's table of logarithms has single precision.
+        assert (r.language, r.accepted) == (language, accepted) and r.posterior == pytest.approx(posterior, abs=1e-3)
