@@ -67,6 +67,15 @@ def test_payloads_come_back(spark, small, tmp_path):
     assert joined.where("decode(payload, 'utf-8') <> html").count() == 0 and joined.count() > 0
 
 
+def test_a_task_goes_on_after_a_full_archive(spark, tmp_path):
+    rows = [(i, "u", f"{digest(str(i).encode())} page {i}", "x") for i in range(4000)]  # a thousand a task, 400 of them train a dictionary
+    archives = write_archives(spark.createDataFrame(rows, SCHEMA).coalesce(1), str(tmp_path / "warc"), most=4000)
+    back = read_archives(archives, payloads=True)
+    assert sorted((r.page_id, r.payload.decode()) for r in back.collect()) == [(i, html) for i, _, html, _ in rows]
+    # Four tasks, and more archives than that; their list tells all records.
+    assert archives.count() > 4 and archives.agg({"records": "sum"}).first()[0] == len(rows)
+
+
 def foreign(kind, name, block, **more):
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{name}>", "WARC-Date: 2024-01-01T00:00:00Z", f"Content-Length: {len(block)}"]
     lines += [f"{field}: {value}" for field, value in more.items()]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import struct
 import uuid
 from collections.abc import Iterator
@@ -257,9 +258,11 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def write_archives(pages: DataFrame, folder: str) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, most: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes all pages under ``folder``; returns the list of archives, ``path, records, bytes``.
 
+    A task closes an archive at ``most`` compressed bytes and goes on with the next one.
+
     A task gives each archive a name of its own, so a task that is run again leaves
     a file that no list names. The list is written as a table in the same folder.
     """
@@ -290,14 +293,11 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             store, root = fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
             store.create_dir(root, recursive=True)
             path = f"{root}/{uuid.uuid4().hex}.warc.zst"
-
-            def chain(first: Page = page) -> Iterator[Page]:
-                yield first
-                yield from left
-
+            # No generator may stand between: when an archive is full it would be closed, and close ``left`` with it.
+            following = itertools.chain([page], left)
             # The name's ending must not make the store compress the archive once more.
             with store.open_output_stream(path, compression=None) as out:
-                records, size = write_archive(out, chain())
+                records, size = write_archive(out, following, most)
             name = f"{folder.rstrip('/')}/{path.rsplit('/', 1)[1]}"
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([records], pa.int64()), pa.array([size], pa.int64())], ["path", "records", "bytes"])
 
