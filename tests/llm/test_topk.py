@@ -1,8 +1,10 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 
+from tickloom.llm import topk
 from tickloom.llm.topk import top_k
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
@@ -43,3 +45,23 @@ def test_components_too_large_for_doubles(spark):
     rows = [(0, [1e7, 1.0], 0), (1, [1e6, 3.0], 0), (2, [1e6, 4.0], 0)]
     vectors = {r.vec_id: r.embedding for r in spark.createDataFrame(rows, SCHEMA).collect()}
     assert found(spark, rows) == {0: brute.top(vectors, 0, 5)}
+
+
+def test_what_earlier_lists_gave_stops_later_ones(monkeypatch):
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-100, 100, (900, 8)).astype(np.float32)
+    ids, queries = np.arange(900), vectors[::50]
+    monkeypatch.setattr(topk, "LIST_LENGTH", 200)
+    monkeypatch.setattr(topk, "TOGETHER", 7)
+    scores = vectors @ queries.T
+    for q, places, best in topk.search(queries, ids[::50], vectors, ids, 5):
+        others = [i for i in range(900) if i != 50 * q]
+        assert places.tolist() == sorted(others, key=lambda i: (-scores[i, q], i))[:5]
+        assert best.tolist() == scores[places, q].tolist()
+    # With a k-th score that nothing here reaches, all stop in the first round and hold nothing.
+    read = []
+    lists = topk.Lists(vectors)
+    monkeypatch.setattr(lists, "read", lambda *a, of=lists.read: read.append(a[3]) or of(*a))
+    none = np.full(len(queries), -1)
+    unreachable = np.full(len(queries), 1e7, np.float32)
+    assert not any(map(len, topk.read_lists(queries, lists, none, 5, unreachable))) and max(read) == 900 // 32

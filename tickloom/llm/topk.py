@@ -30,6 +30,9 @@ from tickloom.llm.tables import partitions
 K = 5
 VECTOR_BLOCK = 8192
 QUERY_BLOCK = 512
+# Vectors whose lists are read at a time, and queries that read them together.
+LIST_LENGTH = 2048
+TOGETHER = 32
 # Shares of a list that have been read after each round.
 DEPTHS = (1 / 32, 1 / 8, 1 / 4, 1 / 2, 1.0)
 # A query stops reading when it has this many candidates for each result wanted.
@@ -38,10 +41,10 @@ LONG = (-(2**63), 2**63 - 1)
 
 
 def _matrix(values: list[list[int]], width: int) -> np.ndarray:
-    """Rows padded with zeros to one width; Python integers where a product could pass 2**53."""
+    """Rows padded with zeros to one width, in the narrowest numbers that hold all sums exactly: floats, doubles or Python integers."""
     top = max((abs(v) for row in values for v in row), default=0)
-    exact = top * top * max(width, 1) < 2**53
-    out = np.zeros((len(values), width), np.float64 if exact else object)
+    bound = 4 * top * top * max(width, 1)  # of what the bounds of scores add up
+    out = np.zeros((len(values), width), np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else object)
     for i, row in enumerate(values):
         out[i, : len(row)] = row
     return out
@@ -72,60 +75,80 @@ class Lists:
         return self.order[component, part], self.values[component, part]
 
 
-def read_lists(query: np.ndarray, lists: Lists, own: int, k: int) -> np.ndarray:
-    """Candidates of one query: places that hold its k best vectors, found by reading the lists as deep as needed.
+def read_lists(queries: np.ndarray, lists: Lists, own: np.ndarray, k: int, least: np.ndarray) -> list[np.ndarray]:
+    """Candidates of each query: places that hold its best vectors, found by reading the lists as deep as needed.
 
-    ``own`` is the query's own place, or -1.
+    ``own`` is a query's own place, or -1; ``least`` the score that its k-th best
+    vector of other lists has. Queries read together, each in its own direction: an entry
+    that was read is added to a row of sums, which has a column for each query
+    that has not stopped.
     """
     n = len(lists.vectors)
-    used = np.flatnonzero(query)
-    down = query > 0  # a positive weight prefers large values
-    weights = query[used]
-    worst = np.where(down[used], lists.values[used, 0], lists.values[used, -1])
-    read_sum = np.zeros(n)  # per vector: what was read of it
-    read_worst = np.zeros(n)  # per vector: what the lists' worst ends would have given for that
-    unread = np.ones((n, len(used)), np.float64)
+    down, up = np.maximum(queries, 0).T.copy(), np.minimum(queries, 0).T.copy()  # a positive weight prefers large values
+    low, high = lists.values[:, 0], lists.values[:, -1]
+    worst = low @ down + high @ up  # what the lists' worst ends would give
+    read = np.zeros((n, len(queries)), queries.dtype)  # per vector: what was read of it, above the worst ends
+    unread_down, unread_up = np.ones_like(lists.vectors), np.ones_like(lists.vectors)
+    found = [np.zeros(0, np.int64)] * len(queries)
+    left = np.arange(len(queries))  # the queries that have not stopped
     depth = 0
     for share in DEPTHS:
         until = min(n, max(depth + 1, int(n * share)))
-        reached = np.empty(len(used))
-        for i, component in enumerate(used):
-            places, values = lists.read(component, down[component], depth, until)
+        for component in range(len(lists.order)):
             # A list holds each vector once, so no place is added to twice here.
-            read_sum[places] += weights[i] * values
-            read_worst[places] += weights[i] * worst[i]
-            unread[places, i] = 0.0
-            reached[i] = values[0] if down[component] else values[-1]
+            places, values = lists.read(component, True, depth, until)
+            read[places] += np.multiply.outer(values - low[component], down[component])
+            unread_down[places, component] = 0
+            places, values = lists.read(component, False, depth, until)
+            read[places] += np.multiply.outer(values - high[component], up[component])
+            unread_up[places, component] = 0
         depth = until
-        if depth == n:
-            break
-        lower = read_sum + (weights @ worst - read_worst)
-        upper = read_sum + unread @ (weights * reached)
-        if own >= 0:
-            lower[own] = upper[own] = -np.inf
-        kth = np.partition(lower, n - k)[n - k] if n > k else -np.inf
+        lower = read + worst
+        upper = lower
+        if depth < n:
+            reached_down, reached_up = lists.values[:, n - depth] - low, lists.values[:, depth - 1] - high
+            upper = lower + unread_down @ (down * reached_down[:, None]) + unread_up @ (up * reached_up[:, None])
+        mine = np.flatnonzero(own >= 0)
+        lower[own[mine], mine] = upper[own[mine], mine] = -np.inf
+        kth = np.maximum(np.partition(lower, n - k, axis=0)[n - k], least) if n > k else least
         # An upper bound that equals the k-th lower bound may still tie with a smaller id.
-        candidates = np.flatnonzero(upper >= kth)
-        if len(candidates) <= FEW * k:
-            return candidates
-    # The lists have been read to their ends: what was read is the score.
-    if own >= 0:
-        read_sum[own] = -np.inf
-    kth = np.partition(read_sum, n - k)[n - k] if n > k else -np.inf
-    return np.flatnonzero((read_sum >= kth) & (read_sum > -np.inf))
+        held = upper >= kth
+        # At the lists' ends what was read is the score.
+        stops = (held.sum(axis=0) <= FEW * k) | (depth == n)
+        for i in np.flatnonzero(stops):
+            found[left[i]] = np.flatnonzero(held[:, i])
+        if stops.all():
+            break
+        if stops.any():
+            go = ~stops
+            read, down, up, worst, own, least, left = read[:, go], down[:, go], up[:, go], worst[go], own[go], least[go], left[go]
+    return found
 
 
 def search(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per query its place, and the places and scores of its k best vectors of this block."""
-    lists = Lists(vectors)
-    place_of = {int(v): i for i, v in enumerate(ids)}
-    for i, query in enumerate(queries):
-        own = place_of.get(int(query_ids[i]), -1)
-        held = read_lists(query, lists, own, k)
-        held = held[held != own]
-        scores = vectors[held] @ query
-        first = _best(scores, ids[held], k)
-        yield i, held[first], scores[first]
+    """Per query its place, and the places and scores of its k best vectors of this block.
+
+    The block's vectors are taken list by list; the k-th best score so far lets
+    the queries stop earlier in the next lists.
+    """
+    best = [(np.zeros(0, np.int64), np.zeros(0, vectors.dtype))] * len(queries)
+    least = np.full(len(queries), -np.inf, vectors.dtype)
+    for begin in range(0, len(vectors), LIST_LENGTH):
+        lists = Lists(vectors[begin : begin + LIST_LENGTH])
+        place_of = {int(v): i for i, v in enumerate(ids[begin : begin + LIST_LENGTH])}
+        own = np.array([place_of.get(int(q), -1) for q in query_ids], np.int64)
+        for first in range(0, len(queries), TOGETHER):
+            some = slice(first, first + TOGETHER)
+            for i, held in enumerate(read_lists(queries[some], lists, own[some], k, least[some]), first):
+                held = held[held != own[i]]
+                places = np.concatenate([best[i][0], begin + held])
+                scores = np.concatenate([best[i][1], lists.vectors[held] @ queries[i]])
+                top = _best(scores, ids[places], k)
+                best[i] = (places[top], scores[top])
+                if len(top) == k:
+                    least[i] = scores[top[-1]]
+    for i, (places, scores) in enumerate(best):
+        yield i, places, scores
 
 
 def _pairs(rows: DataFrame, k: int) -> DataFrame:
