@@ -19,7 +19,7 @@ from tickloom.operators import (
     unequal_nodes,
 )
 from tickloom.operators.hash_tree import nodes
-from tickloom.plans import start_aggregated, start_raw
+from tickloom.plans import start_aggregated, start_raw, upkeep_queries
 from tickloom.schema import AGGREGATED_LAYOUT, AGGREGATED_SCHEMA, RAW_LAYOUT
 from tickloom.session import children
 from tickloom.sources import read_table, read_wire_files
@@ -220,3 +220,14 @@ def test_files_of_a_symbol_and_a_span(spark, tmp_path):
     assert tuples(read_files(spark, f"{tmp_path}/raw", files, RAW_LAYOUT).where(span)) == tuples(rows.where(span))
     assert files_for(index, "S1", "2027-01-01", "2027-01-02") == []
     assert newest_files(index.limit(0), 5) == []
+
+
+def test_a_wave_is_dealt_to_files_as_events(spark, small, monkeypatch):
+    """Messages are several times as large as their events, and are not exchanged; a wave has as many files as cores if it is large."""
+    sent, send = [], upkeep_queries._send
+    monkeypatch.setattr(upkeep_queries, "_send", lambda messages, path: sent.append((plan_of(messages), messages.rdd.getNumPartitions())) or send(messages, path))
+    monkeypatch.setattr(upkeep_queries, "FILE_MESSAGES", 1)
+    assert upkeep_queries.stream_dedup_earliest(spark, small).count() > 0
+    waves = sent[:-1]
+    assert len(waves) == 10 and {files for _, files in waves} == {spark.sparkContext.defaultParallelism}
+    assert all(plan.count("Exchange") == 1 and "RoundRobin" not in plan for plan, _ in waves)

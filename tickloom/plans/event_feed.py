@@ -35,6 +35,8 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parque[t]")
 
 
+# Which events are sent twice.
+COPIED = "event_id % 11 = 0"
 _ISO = "concat(date_format({time}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00')"
 _K = "get_json_object(props, '$.k')"
 
@@ -47,7 +49,7 @@ def wire_columns(events: DataFrame, shift_seconds: int = 0, replay: int | None =
     sent = events.selectExpr(
         "*",
         f"ts + make_dt_interval(0, 0, 0, {shift_seconds}) AS time",
-        "explode(if(event_id % 11 = 0, array(0, 1), array(0))) AS replay",
+        f"explode(if({COPIED}, array(0, 1), array(0))) AS replay",
     )
     if replay is not None:
         sent = sent.where(F.col("replay") == replay)

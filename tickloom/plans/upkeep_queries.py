@@ -21,7 +21,7 @@ from tickloom.operators import (
     rejected_input,
     tree_differences,
 )
-from tickloom.plans.event_feed import SOURCE, long_price_messages, read_events, wire_messages
+from tickloom.plans.event_feed import COPIED, SOURCE, long_price_messages, read_events, wire_messages
 from tickloom.plans.queries import (
     LATE_SHIFT_SECONDS,
     Query,
@@ -76,8 +76,9 @@ from tickloom.streaming.tables import checkpoint_identity
 SILENT_AFTER = "90 minutes"
 LOOKUP_SYMBOL, LOOKUP_START, LOOKUP_END = "click", "2024-01-12T00:00:00", "2024-01-12T12:00:00"
 RANGED_FILES = 16
-# Files that a wave of messages is sent in, and that a micro-batch takes.
-WAVE_FILES = 4
+# Files that a wave of messages is sent in, and that a micro-batch takes: these at least, and
+# as many as there are cores if each file of the copies then has this many messages.
+WAVE_FILES, FILE_MESSAGES = 4, 1000
 # Slices of the feed's time, and a delay that is longer than one of them.
 SLICES, SLICE_DELAY = 5, timedelta(days=7)
 
@@ -96,15 +97,18 @@ def stream_dedup_earliest(spark: SparkSession, folder: str) -> DataFrame:
     """
     root = scratch_dir(spark, "stream-earliest")
     events = read_events(spark, folder)
+    newest, copies = events.agg(F.max("ts").cast("timestamp"), F.count_if(F.expr(COPIED))).first()
+    files = max(WAVE_FILES, min(spark.sparkContext.defaultParallelism, copies // (SLICES * FILE_MESSAGES)))
     for part in _slices(events, SLICES):
         for replay in (1, 0):
-            _send(wire_messages(part, replay=replay).repartition(WAVE_FILES), f"{root}/feed")
-    end = events.agg(F.max("ts").cast("timestamp")).first()[0] + SLICE_DELAY + timedelta(seconds=1)
+            # Events are dealt to files; their messages are larger and need no exchange.
+            _send(wire_messages(part.repartition(files, "event_id"), replay=replay), f"{root}/feed")
+    end = newest + SLICE_DELAY + timedelta(seconds=1)
     time = F.lit(end.isoformat() + "+00:00")
     last = message_value(symbol=F.lit("end"), price=F.lit("1"), volume=F.lit("0"), trade_timestamp=time, ingestion_timestamp=time, source=F.lit("end"))
     _send(spark.range(1).select(last.alias("value")), f"{root}/feed")
     flow = TradeFlow(f"{root}/checkpoints", f"{SLICE_DELAY.days} days", earliest_copy=True, trigger={"availableNow": True})
-    _finish(start_raw(read_wire_files(spark, f"{root}/feed", WAVE_FILES), f"{root}/raw", flow))
+    _finish(start_raw(read_wire_files(spark, f"{root}/feed", files), f"{root}/raw", flow))
     return read_table(spark, f"{root}/raw", RAW_LAYOUT)
 
 
