@@ -5,6 +5,7 @@ import brute
 import public_tokenizers
 import tiktoken
 
+from tickloom.llm import byte_bpe
 from tickloom.llm.byte_bpe import MinimalPerfectHash, encode_decode, load
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -44,3 +45,19 @@ def test_rows(spark):
         expected.append((doc, len(ids), brute.sha(",".join(map(str, ids)).encode()), brute.sha((text or "").encode())))
     assert sorted(map(tuple, encode_decode(docs, PATH, public_tokenizers.PATTERN).collect()), key=str) == sorted(expected, key=str)
     assert encode_decode(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_work_is_not_done_twice(monkeypatch):
+    """A seed is given up at its first taken slot; a piece of one pre-token is remembered once."""
+    calls, digest = [0], byte_bpe.xxhash.xxh3_64_intdigest
+
+    def counted(*args):
+        calls[0] += 1
+        return digest(*args)
+
+    monkeypatch.setattr(byte_bpe.xxhash, "xxh3_64_intdigest", counted)
+    MinimalPerfectHash([str(i).encode() for i in range(3000)])
+    assert calls[0] < 250_000  # 406,890 when all keys of a bucket were tried with each seed
+    bpe = byte_bpe.ByteBpe({bytes([i]): i for i in range(256)}, r"\w+| \w+|\s+|[^\w\s]+")
+    assert bytes(bpe.encode("one two one two, three")) == b"one two one two, three"
+    assert set(bpe.pieces) == {" two", " one", " two,", " three"} and set(bpe.tokens) == {" two", ","}

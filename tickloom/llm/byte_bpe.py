@@ -14,6 +14,7 @@ import base64
 import functools
 import hashlib
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from tickloom.llm.arrow import column, texts
 
 # Entries kept of the pieces of text met last, per worker.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 400_000
 
 
 class MinimalPerfectHash:
@@ -43,15 +44,21 @@ class MinimalPerfectHash:
         grouped: list[list[bytes]] = [[] for _ in range(self.buckets)]
         for key in keys:
             grouped[xxhash.xxh3_64_intdigest(key) % self.buckets].append(key)
+        digest, size, placed = xxhash.xxh3_64_intdigest, self.size, self.keys
         for bucket in sorted(range(self.buckets), key=lambda b: -len(grouped[b])):
             seed = 0
             while grouped[bucket]:
                 seed += 1
-                slots = {xxhash.xxh3_64_intdigest(key, seed) % self.size: key for key in grouped[bucket]}
-                if len(slots) == len(grouped[bucket]) and all(self.keys[s] is None for s in slots):
+                slots: dict[int, bytes] = {}
+                for key in grouped[bucket]:
+                    slot = digest(key, seed) % size
+                    if placed[slot] is not None or slot in slots:
+                        break  # most seeds fail at their first key
+                    slots[slot] = key
+                else:
                     self.seeds[bucket] = seed
                     for slot, key in slots.items():
-                        self.keys[slot] = key
+                        placed[slot] = key
                     break
 
     def slot(self, key: bytes) -> int:
@@ -89,6 +96,7 @@ class ByteBpe:
         self.ids = [ranks[key] for key in self.table.keys]
         self.rank_of = ranks
         self.bytes_of = {rank: key for key, rank in ranks.items()}
+        self.name_of = {rank: str(rank) for rank in self.bytes_of}
         self.tokens = Memo(self._pretoken)
         self.pieces = Memo(self._piece)
 
@@ -97,18 +105,15 @@ class ByteBpe:
         slot = self.table.slot(raw)
         return (self.ids[slot],) if slot >= 0 else tuple(self.merged(raw))
 
-    def merged(self, raw: bytes) -> Iterator[int]:
+    def merged(self, raw: bytes) -> list[int]:
         """The ids of a pre-token that the vocabulary does not hold as a whole."""
-        n, rank = len(raw), self.rank_of.get
+        n, rank, push, pop = len(raw), self.rank_of.get, heapq.heappush, heapq.heappop
         end = list(range(1, n + 1))  # of the part that starts here; 0: swallowed by the part before
         before = list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            if (r := rank(raw[i : i + 2])) is not None:
-                heap.append((r, i, i + 2))
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(raw[i : i + 2])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, left, stop = heapq.heappop(heap)
+            _, left, stop = pop(heap)
             right = end[left]
             if not right or right >= n or end[right] != stop:
                 continue  # one of the two parts has changed since
@@ -116,17 +121,21 @@ class ByteBpe:
             if stop < n:
                 before[stop] = left
                 if (r := rank(raw[left : end[stop]])) is not None:
-                    heapq.heappush(heap, (r, left, end[stop]))
+                    push(heap, (r, left, end[stop]))
             if (b := before[left]) >= 0 and (r := rank(raw[b:stop])) is not None:
-                heapq.heappush(heap, (r, b, stop))
-        i = 0
+                push(heap, (r, b, stop))
+        ids, i = [], 0
         while i < n:
-            yield rank(raw[i : end[i]])
+            ids.append(rank(raw[i : end[i]]))
             i = end[i]
+        return ids
 
     def _piece(self, piece: str) -> tuple[int, ...]:
+        tokens = self.pattern.findall(piece)
+        if len(tokens) == 1:  # remembered as a piece
+            return self._pretoken(tokens[0])
         out: list[int] = []
-        for token in self.pattern.findall(piece):
+        for token in tokens:
             out += self.tokens[token]
         return tuple(out)
 
@@ -137,18 +146,14 @@ class ByteBpe:
         characters that are no white space. A pre-token starts there whatever
         surrounds it, so the pieces can be encoded, and remembered, by themselves.
         """
-        pieces = _CUT.split(text)
-        out = list(self._piece(pieces[0]))
-        remembered = self.pieces
-        for piece in pieces[1:]:
-            out += remembered[" " + piece]
-        return out
+        first, *pieces = _CUT.split(text)
+        return [*self._piece(first), *itertools.chain.from_iterable(map(self.pieces.__getitem__, pieces))]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 @functools.lru_cache(maxsize=4)
@@ -177,7 +182,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for text in texts(batch):
                 ids = bpe.encode(text)
                 counts.append(len(ids))
-                ids_digests.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                ids_digests.append(hashlib.sha256(",".join(map(bpe.name_of.__getitem__, ids)).encode()).hexdigest())
                 text_digests.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "doc_id"), pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())],
