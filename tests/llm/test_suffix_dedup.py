@@ -1,10 +1,12 @@
 import random
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom.llm.suffix_dedup import remove_repeats
+from tickloom.llm.tables import prepare
 
 SCHEMA = "doc_id bigint, text string, bucket string, what int"
 
@@ -70,3 +72,15 @@ def test_whole_characters(spark):
     rows = [(1, "x" + text, "x", 1), (2, text + "é", "x", 1)]
     row = remove_repeats(spark.createDataFrame(rows, SCHEMA), whole_characters=True).where("carry.doc_id = 2").first()
     bytes(row.kept).decode()
+
+
+def test_packed_rows_travel_in_small_batches(spark):
+    """Rows of many findings: a thousand of them at once took more memory than a task has."""
+    rows = prepare(spark).range(0, 40, 1, 1).selectExpr("id", "repeat('x', 1000000) AS packed")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    found = rows.mapInArrow(sizes, "n bigint, bytes bigint").collect()
+    assert sum(r.n for r in found) == 40 and max(r.bytes for r in found) < 6_000_000

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,3 +35,19 @@ def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
         yield first, last
         first = last
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the worker's free memory goes back to the system.
+
+    Workers live on from step to step; what each step's arrays leave behind in the allocators would add up.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library has it
+        if trim:
+            trim(0)
+
+    return whole

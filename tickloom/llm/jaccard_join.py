@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.arrow import column, packed, slices
+from tickloom.llm.arrow import column, giving_back, packed, slices
 from tickloom.llm.components import components
 from tickloom.llm.set_keys import keys_of, shingle_sets, sketch
 from tickloom.llm.tables import partitions, written
@@ -83,7 +83,7 @@ def document_sets(docs: DataFrame, words: int) -> DataFrame:
                 ["doc_id", "n_shingles", "set_id", "sketch"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, set_id binary, sketch binary")
+    return docs.select("doc_id", "text").mapInArrow(giving_back(run), "doc_id bigint, n_shingles bigint, set_id binary, sketch binary")
 
 
 def _shipments(docs: DataFrame, words: int, threshold: int, buckets: int) -> DataFrame:
@@ -154,7 +154,7 @@ def _shipments(docs: DataFrame, words: int, threshold: int, buckets: int) -> Dat
         if ids:
             yield pack(ids, keys, marks, stars)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, docs binary, counts binary, keys binary, thinned binary, stars binary")
+    return docs.select("doc_id", "text").mapInArrow(giving_back(run), "bucket int, docs binary, counts binary, keys binary, thinned binary, stars binary")
 
 
 def _meetings(shipments: DataFrame, n: int) -> DataFrame:
@@ -215,7 +215,7 @@ def _meetings(shipments: DataFrame, n: int) -> DataFrame:
         if held:
             yield from meet(held)
 
-    return shipments.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "list bigint, sure boolean, doc_id bigint")
+    return shipments.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(giving_back(run), "list bigint, sure boolean, doc_id bigint")
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
@@ -273,7 +273,7 @@ def _plausible(meetings: DataFrame, threshold: int, n: int) -> DataFrame:
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return meetings.repartition(n, "list", "sure").sortWithinPartitions("list", "sure").mapInArrow(run, "a bigint, b bigint")
+    return meetings.repartition(n, "list", "sure").sortWithinPartitions("list", "sure").mapInArrow(giving_back(run), "a bigint, b bigint")
 
 
 def exact_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, across: bool, threshold: int) -> list[tuple[int, int]]:
@@ -335,7 +335,7 @@ def _verified(rows: DataFrame, words: int, threshold: int, n: int) -> DataFrame:
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return rows.repartition(n, "cluster", "p", "q").sortWithinPartitions("cluster", "p", "q").mapInArrow(run, "a bigint, b bigint")
+    return rows.repartition(n, "cluster", "p", "q").sortWithinPartitions("cluster", "p", "q").mapInArrow(giving_back(run), "a bigint, b bigint")
 
 
 def join_components(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.arrow import column, packed, slices
+from tickloom.llm.arrow import column, giving_back, packed, slices
 from tickloom.llm.tables import written
 
 GRAM_BITS = 14
@@ -128,7 +128,7 @@ def fit(labelled: DataFrame) -> Model:
 
     table, letters = np.zeros((len(labels), grams), np.float32), np.zeros(256)
     if labels:
-        counted = rows.select("text", "label").mapInArrow(count, "label string, gram int, n bigint").groupBy("label", "gram").agg(F.sum("n").alias("n"))
+        counted = rows.select("text", "label").mapInArrow(giving_back(count), "label string, gram int, n bigint").groupBy("label", "gram").agg(F.sum("n").alias("n"))
         found = counted.toPandas()
         none = found["label"].isna().to_numpy()
         letters[found["gram"].to_numpy(np.int64)[none]] = found["n"].to_numpy()[none]
@@ -157,7 +157,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in kept), pa.array(grams), values], [*kept, "grams", "likelihoods"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(run, f"{fields}, grams bigint, likelihoods array<double>")
+    return rows.mapInArrow(giving_back(run), f"{fields}, grams bigint, likelihoods array<double>")
 
 
 def _normal(logs: Column) -> Column:

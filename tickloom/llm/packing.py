@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tickloom.llm.arrow import column, packed, slices
+from tickloom.llm.arrow import column, giving_back, packed, slices
 from tickloom.llm.pair_index import piece_starts
 from tickloom.llm.runs import as_utf8, gathered
 from tickloom.llm.tables import written
@@ -200,7 +200,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(giving_back(run), schema)
 
 
 def _number(rows: DataFrame, within: list[str]) -> DataFrame:

@@ -18,7 +18,7 @@ import numpy as np
 from tickloom.llm.words import mix, powers, prefix_sums, span_hash
 
 # Bytes parsed together; places in them fit into PLACE_BITS.
-PLACE_BITS = 20
+PLACE_BITS = 18
 PIECE = 1 << PLACE_BITS
 _PLACE = np.uint64(PIECE - 1)
 

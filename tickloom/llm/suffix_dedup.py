@@ -34,15 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.llm.arrow import column, packed
+from tickloom.llm.arrow import column, giving_back, packed
 from tickloom.llm.phrases import Phrases, parse, pieces
 from tickloom.llm.tables import partitions, quoted, written
 
 MATCH, GRAM = 100, 48
 # Phrases held by a task before they are shipped.
-SHIP = 1 << 19
+SHIP = 1 << 18
 # Findings of a task packed together.
-GATHER = 1 << 19
+GATHER = 1 << 18
 # Suffixes sorted together.
 SORTED = 1 << 17
 # A trigger with more different phrases than this is settled window by window.
@@ -191,7 +191,7 @@ def _ship(docs: DataFrame, match: int, gram: int, buckets: int) -> DataFrame:
         if parts:
             yield pack(parts)
 
-    return docs.mapInArrow(run, SHIPPED)
+    return docs.mapInArrow(giving_back(run), SHIPPED)
 
 
 def _dictionary(shipped: DataFrame, n: int, buckets: int) -> DataFrame:
@@ -240,7 +240,7 @@ def _dictionary(shipped: DataFrame, n: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _gathered(findings(batches), buckets)
 
-    return shipped.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
+    return shipped.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(giving_back(run), FOUND)
 
 
 # --- texts and findings by bucket ---------------------------------------------------------
@@ -355,7 +355,7 @@ def _send(dealt: DataFrame, match: int, buckets: int) -> DataFrame:
                 phrases, windows, size = [], [], 0
         yield from ship(phrases, windows)
 
-    return dealt.mapInArrow(run, SENT)
+    return dealt.mapInArrow(giving_back(run), SENT)
 
 
 def suffix_repeats(key, doc, start, count, content: bytes, match: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -427,7 +427,7 @@ def _compare(sent: DataFrame, match: int, n: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _gathered(findings(batches), buckets)
 
-    return sent.repartition(n, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, FOUND)
+    return sent.repartition(n, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(giving_back(run), FOUND)
 
 
 # --- step 4 -------------------------------------------------------------------------------
@@ -487,7 +487,7 @@ def _remove(dealt: DataFrame, match: int, whole_characters: bool) -> DataFrame:
 
     rest = StructType.fromDDL("kept binary, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>")
     # Not as text: the carried columns may have any names.
-    return dealt.mapInArrow(run, StructType([dealt.schema["carry"], *rest.fields]))
+    return dealt.mapInArrow(giving_back(run), StructType([dealt.schema["carry"], *rest.fields]))
 
 
 def remove_repeats(docs: DataFrame, match: int = MATCH, gram: int = GRAM, whole_characters: bool = False) -> DataFrame:

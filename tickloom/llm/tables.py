@@ -8,11 +8,14 @@ from tickloom.session import prepare_session, scratch_dir
 
 # Rows that travel to a Python task at once. Texts are kilobytes, so Spark's default would hold many megabytes.
 ROWS_PER_BATCH = "1000"
+# Nor more bytes than this, unless one row has them: rows that stand for a task's whole findings have many.
+BYTES_PER_BATCH = str(4 << 20)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The session options of the flow, and smaller batches for rows that carry texts."""
+    """The session options of the flow, and smaller batches for rows that carry texts or packed findings."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
     return prepare_session(spark)
 
 
